@@ -16,9 +16,11 @@ def key_violations(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 
 
-def key_failures(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+def key_failures(rows: DataFrame, key: Sequence[str], across_requests: bool = True) -> DataFrame:
     """Requests that break the key: twice in one request, or in a later request than the first to bring it."""
     per_request = rows.groupBy(*key, "request_id").agg(F.count("*").alias("rows"))
+    if not across_requests:
+        return per_request.filter(F.col("rows") > 1).select("request_id").distinct()
     shared = (
         per_request.groupBy(*key)
         .agg(F.min("request_id").alias("first"), F.count("*").alias("requests"), F.max("rows").alias("most"))

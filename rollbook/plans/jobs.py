@@ -21,7 +21,7 @@ from rollbook.plans.requests import request_plan
 from rollbook.schemas.endpoints import AREAS, ENDPOINTS, Endpoint
 from rollbook.schemas.tables import TABLES
 from rollbook.session import materialize
-from rollbook.sources.landing import chain_status, parse_pages, records_of
+from rollbook.sources.landing import chain_status, newest_fetches, parse_pages, records_of
 from rollbook.sources.warehouse import Warehouse
 
 # Areas of the three ways a sync is started.
@@ -37,6 +37,8 @@ _GROUPS = {
 }
 # Keys without academy and year may already be held by another slice.
 _PLAIN_KEYS = ("BehClassifications", "BehEventTypes")
+# Where an id that was sent before, by whatever request, is replaced.
+_LAST_WINS = {"beh_events": "BehEventId", "staff": "StaffId"}
 
 
 def full_sync(warehouse: Warehouse, pages: DataFrame, config: DataFrame, as_of: date, **options) -> DataFrame:
@@ -71,16 +73,22 @@ def sync_requests(
     logged_at: datetime | None = None,
 ) -> DataFrame:
     """Store the requests in ``plan``, endpoint by endpoint."""
+    # Plan and fetches hold one short row per request. Written out, their size is known when the joins with the
+    # pages are planned, so the page texts are not shuffled unless there really are too many requests to broadcast.
     plan = materialize(plan, "plan")
-    outcomes = [_sync_endpoint(warehouse, pages, plan, ENDPOINTS[name]) for name in endpoints]
+    fetches = materialize(newest_fetches(pages, plan), "fetches")
+    outcomes = [_sync_endpoint(warehouse, pages, plan, fetches, ENDPOINTS[name]) for name in endpoints]
     log = materialize(log_rows(reduce(DataFrame.unionByName, outcomes), logged_at), "log")
     warehouse.append("SyncResults", log)
     return log
 
 
-def _sync_endpoint(warehouse: Warehouse, pages: DataFrame, plan: DataFrame, endpoint: Endpoint) -> DataFrame:
+def _sync_endpoint(
+    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint
+) -> DataFrame:
     asked = plan.filter(F.col("endpoint") == endpoint.name)
-    landed = pages.filter(F.col("endpoint") == endpoint.name).join(asked.select("request_id"), "request_id", "left_semi")
+    landed = pages.filter(F.col("endpoint") == endpoint.name)
+    landed = landed.join(fetches, ["request_id", "fetched_at"], "left_semi")
     parsed = materialize(parse_pages(landed, endpoint), f"{endpoint.name}-pages")
 
     chains = asked.select("request_id").join(chain_status(parsed), "request_id", "left")
@@ -106,23 +114,24 @@ def _sync_endpoint(warehouse: Warehouse, pages: DataFrame, plan: DataFrame, endp
 
     stored = outcome.filter(F.col("problem").isNull() & ~F.col("skipped"))
     good_slices = _slices(stored, endpoint)
+    good_records = records_of(readable).join(stored.select("request_id"), "request_id", "left_semi")
     for name, rows in tables.items():
-        good = rows.join(stored.select("request_id"), "request_id", "left_semi").drop("request_id")
-        _store(warehouse, endpoint, name, good, good_slices, records_of(readable), stored)
+        good = rows.join(stored.select("request_id"), "request_id", "left_semi")
+        _store(warehouse, endpoint, name, good, good_slices, good_records)
     return outcome
 
 
 def _store(
-    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, records: DataFrame,
-    stored: DataFrame,
+    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, records: DataFrame
 ) -> None:
-    if endpoint.name == "beh_events":
-        sent = records.join(stored.select("request_id"), "request_id", "left_semi")
-        sent = sent.select(F.col("row.id").alias("BehEventId"))
-        warehouse.replace_by_id(name, rows, slices, "BehEventId", sent)
-    elif endpoint.name == "staff":
+    if endpoint.name in _LAST_WINS:
+        key = _LAST_WINS[endpoint.name]
+        sent = records.select(F.col("row.id").alias(key), "request_id")
+        last = sent.groupBy(key).agg(F.max("request_id").alias("request_id"))
+        rows = rows.join(last, [key, "request_id"], "left_semi")
         # Only the staff who were sent again are replaced; leavers stay, so no slice is emptied.
-        warehouse.replace_by_id(name, rows, slices.limit(0), "StaffId", rows)
+        replaced = slices.filter(F.lit(False)) if endpoint.name == "staff" else slices
+        warehouse.replace_by_id(name, rows, replaced, key, sent)
     else:
         warehouse.replace_slices(name, rows, slices)
 
@@ -139,7 +148,8 @@ def _failures(
     wrong = rows.filter(too_long(name)).select("request_id").distinct()
     checks = [failing(wrong, "text too long")]
     if spec.key:
-        checks.append(failing(key_failures(rows, spec.key), "duplicate key"))
+        across = endpoint.name not in _LAST_WINS
+        checks.append(failing(key_failures(rows, spec.key, across), "duplicate key"))
     if name in STRICT_DATES:
         undated = rows.filter(~STRICT_DATES[name]()).select("request_id").distinct()
         checks.append(failing(undated, "bad date"))

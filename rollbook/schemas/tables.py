@@ -21,6 +21,11 @@ def number(name: str) -> T.StructField:
     return T.StructField(name, T.IntegerType())
 
 
+def ident(name: str) -> T.StructField:
+    """A numeric id; wide enough for a source of any size."""
+    return T.StructField(name, T.LongType())
+
+
 def real(name: str) -> T.StructField:
     return T.StructField(name, T.FloatType())
 
@@ -83,7 +88,7 @@ _DECLARED = [
     Table(
         "Students",
         (
-            text("StudentId", 100), number("SourceStudentId"), text("DataSet", 4), text("Academy", 10),
+            text("StudentId", 100), ident("SourceStudentId"), text("DataSet", 4), text("Academy", 10),
             day("DateOfBirth"), text("Sex", 1), text("LegalFirstName", 200), text("LegalLastName", 200),
             text("PreferredFirstName", 200), text("PreferredLastName", 200), text("MiddleNames", 200),
         ),
@@ -92,7 +97,7 @@ _DECLARED = [
     Table(
         "EducationDetails",
         (
-            text("StudentId", 100), number("SourceStudentId"), text("DataSet", 4), text("Academy", 10),
+            text("StudentId", 100), ident("SourceStudentId"), text("DataSet", 4), text("Academy", 10),
             text("UPN", 13), text("FormerUPN", 13), text("NCYear", 20), text("RegistrationGroup", 100),
             text("House", 500), day("AdmissionDate"), day("LeavingDate"), flag("RemovedFromSource"),
         ),
@@ -102,8 +107,8 @@ _DECLARED = [
     Table(
         "StudentAttributes",
         (
-            text("StudentAttributeId", 100), text("StudentId", 100), number("SourceStudentId"),
-            number("AttributeId"), text("Code", 100), text("Name", 500), flag("IsSystem"),
+            text("StudentAttributeId", 100), text("StudentId", 100), ident("SourceStudentId"),
+            ident("AttributeId"), text("Code", 100), text("Name", 500), flag("IsSystem"),
         ),
         key=("StudentAttributeId",),
         parents=(Parent("EducationDetails", "StudentId"),),
@@ -119,7 +124,7 @@ _DECLARED = [
     Table(
         "AttributeTypes",
         (
-            text("AttributeTypeId", 100), number("SourceAttributeId"), text("DataSet", 4), text("Academy", 10),
+            text("AttributeTypeId", 100), ident("SourceAttributeId"), text("DataSet", 4), text("Academy", 10),
             text("AttributeGroup", 50), text("Code", 100), text("AttributeName", 500), flag("IsSystem"),
         ),
         key=("AttributeTypeId",),
@@ -140,7 +145,7 @@ _DECLARED = [
     Table(
         "Departments",
         (
-            text("DepartmentId", 100), text("DataSet", 4), text("Academy", 10), number("SourceDepartmentId"),
+            text("DepartmentId", 100), text("DataSet", 4), text("Academy", 10), ident("SourceDepartmentId"),
             text("Name", 200),
         ),
         key=("DepartmentId",),
@@ -148,7 +153,7 @@ _DECLARED = [
     Table(
         "Subjects",
         (
-            text("SubjectId", 100), number("SourceSubjectId"), text("DataSet", 4), text("Academy", 10),
+            text("SubjectId", 100), ident("SourceSubjectId"), text("DataSet", 4), text("Academy", 10),
             text("Name", 200), text("Code", 50), text("YearGroup", 50), text("DepartmentId", 100),
             text("QAN", 50), text("QualificationTitle", 300), text("QualificationSchemeName", 300),
             flag("IncludeInStats"),
@@ -175,7 +180,7 @@ _DECLARED = [
     Table(
         "Teachers",
         (
-            text("TeacherId", 100), number("SourceTeacherId"), text("DataSet", 4), text("Academy", 10),
+            text("TeacherId", 100), ident("SourceTeacherId"), text("DataSet", 4), text("Academy", 10),
             text("Title", 10), text("FirstName", 100), text("LastName", 100), text("PreferredFirstName", 100),
             text("PreferredLastName", 100), text("Initials", 100), text("Code", 100),
         ),
@@ -232,11 +237,11 @@ _DECLARED = [
         key=("StudentId", "Code"),
         parents=(Parent("Students", "StudentId"),),
     ),
-    Table("GradeTypes", (number("GradeTypeId"), text("Name")), key=("GradeTypeId",), slice=()),
+    Table("GradeTypes", (ident("GradeTypeId"), text("Name")), key=("GradeTypeId",), slice=()),
     Table(
         "GradeNames",
         (
-            text("GradeNameId", 100), number("GradeTypeId"), text("DataSet", 100), text("Academy", 100),
+            text("GradeNameId", 100), ident("GradeTypeId"), text("DataSet", 100), text("Academy", 100),
             number("NCYear"), text("Name", 100), text("ShortName", 50), text("Description", 500),
             flag("PreferredProgressGrade"), flag("PreferredTargetGrade"),
         ),
@@ -247,7 +252,7 @@ _DECLARED = [
     Table(
         "Grades",
         (
-            number("GradeTypeId"), text("SubjectId", 100), text("StudentId", 100), text("DataSet", 4),
+            ident("GradeTypeId"), text("SubjectId", 100), text("StudentId", 100), text("DataSet", 4),
             text("Academy", 10), number("NCYear"), text("Name", 50), text("Alias", 50),
         ),
         key=("StudentId", "GradeTypeId", "SubjectId"),
@@ -271,7 +276,7 @@ _DECLARED = [
     Table(
         "StudentSessionSummaries",
         (
-            text("StudentId", 100), number("SourceStudentId"), text("DataSet", 4), text("Academy", 10),
+            text("StudentId", 100), ident("SourceStudentId"), text("DataSet", 4), text("Academy", 10),
             number("PossibleSessions"), number("Present"), number("ApprovedEducationalActivity"),
             number("AuthorisedAbsence"), number("UnauthorisedAbsence"), number("AttendanceNotRequired"),
             number("MissingMark"), number("Late"),
@@ -336,7 +341,7 @@ _DECLARED = [
     Table(
         "Calendar",
         (
-            text("DataSet", 4), text("Academy", 10), number("TimetableId"), number("Week"), day("Date"),
+            text("DataSet", 4), text("Academy", 10), ident("TimetableId"), number("Week"), day("Date"),
             text("DayTypeCode", 50),
         ),
         key=("Academy", "DataSet", "Date"),
@@ -345,7 +350,7 @@ _DECLARED = [
     Table(
         "BehClassifications",
         (
-            number("BehClassificationId"), text("DataSet", 4), text("Academy", 10), text("Name", 200),
+            ident("BehClassificationId"), text("DataSet", 4), text("Academy", 10), text("Name", 200),
             number("Score"),
         ),
         key=("BehClassificationId",),
@@ -353,7 +358,7 @@ _DECLARED = [
     Table(
         "BehEventTypes",
         (
-            number("BehEventTypeId"), text("DataSet", 4), text("Academy", 10), number("BehClassificationId"),
+            ident("BehEventTypeId"), text("DataSet", 4), text("Academy", 10), ident("BehClassificationId"),
             text("Code", 50), text("Name", 250), text("Alias", 100), text("Significance", 100),
             flag("Prioritise"),
         ),
@@ -363,11 +368,11 @@ _DECLARED = [
     Table(
         "BehEvents",
         (
-            number("BehEventId"), text("DataSet", 4), text("Academy", 10), number("BehEventTypeId"),
+            ident("BehEventId"), text("DataSet", 4), text("Academy", 10), ident("BehEventTypeId"),
             moment("EventDate"), flag("Closed"), flag("Cancelled"), text("RoomName", 200),
             text("GroupName", 1000), text("SubjectCode", 50), text("YearGroup", 10), text("HomeNotes"),
-            text("SchoolNotes"), moment("CreatedTimeStamp"), number("CreatedByStaffId"),
-            moment("ModifiedTimeStamp"), number("ModifiedByStaffId"),
+            text("SchoolNotes"), moment("CreatedTimeStamp"), ident("CreatedByStaffId"),
+            moment("ModifiedTimeStamp"), ident("ModifiedByStaffId"),
         ),
         key=("BehEventId",),
         slice=BY_EVENT_DAY,
@@ -375,7 +380,7 @@ _DECLARED = [
     ),
     Table(
         "BehEventStudents",
-        (number("BehEventId"), number("SourceStudentId"), text("StudentId", 100)),
+        (ident("BehEventId"), ident("SourceStudentId"), text("StudentId", 100)),
         key=("BehEventId", "StudentId"),
         slice=BY_EVENT_DAY,
         parents=(Parent("BehEvents", "BehEventId"),),
@@ -385,7 +390,7 @@ _DECLARED = [
     Table(
         "Staff",
         (
-            number("StaffId"), text("Academy", 10), text("EmailAddress", 200), text("FirstName", 50),
+            ident("StaffId"), text("Academy", 10), text("EmailAddress", 200), text("FirstName", 50),
             text("LastName", 50), text("DisplayName", 110), text("Title", 10),
         ),
         key=("StaffId",),

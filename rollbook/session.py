@@ -24,6 +24,7 @@ def local_session(cores: str | int = 8, shuffle_partitions: int = 8, memory: str
         .appName("rollbook")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for name, value in SETTINGS.items():

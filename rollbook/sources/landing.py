@@ -21,6 +21,12 @@ def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
 
 
+def newest_fetches(pages: DataFrame, requests: DataFrame) -> DataFrame:
+    """For each of the requests: when it was last made. Reads two narrow columns of the landing folder."""
+    asked = pages.select("request_id", "fetched_at").join(requests.select("request_id"), "request_id", "left_semi")
+    return asked.groupBy("request_id").agg(F.max("fetched_at").alias("fetched_at"))
+
+
 def parse_pages(pages: DataFrame, endpoint: Endpoint) -> DataFrame:
     """One row per page: its place in the chain, its records, and whether its text made sense.
 
@@ -68,7 +74,7 @@ def chain_status(parsed: DataFrame) -> DataFrame:
     each with the same cursor. Counting links needs no window over a request's pages, so a request with very
     many pages is spread over all tasks.
     """
-    page_no, no_cursor = F.col("page_no"), F.lit(None).cast("int")
+    page_no, no_cursor = F.col("page_no"), F.lit(None).cast("long")
     marks = parsed.select(
         "request_id",
         F.explode(

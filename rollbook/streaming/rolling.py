@@ -16,6 +16,7 @@ from rollbook.functions.columns import request_date_label, year_group_label
 from rollbook.plans.jobs import sync_requests
 from rollbook.plans.requests import PLAN_COLUMNS
 from rollbook.schemas.endpoints import ENDPOINTS, PAGE_SCHEMA
+from rollbook.sources.landing import read_landing
 from rollbook.sources.warehouse import Warehouse
 
 
@@ -39,8 +40,7 @@ def rolling_sync(
 
     def store(batch: DataFrame, _: int) -> None:
         seen = requests_of(batch)
-        pages = newest_pages(spark.read.schema(PAGE_SCHEMA).parquet(landing))
-        sync_requests(warehouse, pages, seen, endpoints)
+        sync_requests(warehouse, read_landing(spark, landing), seen, endpoints)
 
     return (
         arriving.writeStream.foreachBatch(store)
@@ -52,23 +52,10 @@ def rolling_sync(
 
 def requests_of(batch: DataFrame) -> DataFrame:
     """The requests a batch of pages belongs to, in the form of a request plan."""
-    per_endpoint = F.create_map(
-        *[F.lit(x) for e in ENDPOINTS.values() for x in (e.name, f"{e.area}\n{e.path}")]
-    )
-    about = F.split(per_endpoint[F.col("endpoint")], "\n")
+    area = F.create_map(*[F.lit(x) for e in ENDPOINTS.values() for x in (e.name, e.area)])
+    path = F.create_map(*[F.lit(x) for e in ENDPOINTS.values() for x in (e.name, e.path)])
     seen = batch.select("request_id", "endpoint", "Academy", "DataSet", "NCYear", "Date").distinct()
     return seen.select(
-        "*", about[0].alias("area"), about[1].alias("path"), year_group_label("NCYear").alias("YearGroup"),
-        request_date_label("Date").alias("DateText"),
+        "*", area[F.col("endpoint")].alias("area"), path[F.col("endpoint")].alias("path"),
+        year_group_label("NCYear").alias("YearGroup"), request_date_label("Date").alias("DateText"),
     ).select(*PLAN_COLUMNS)
-
-
-def newest_pages(pages: DataFrame) -> DataFrame:
-    """Of a request landed several times, the pages of its newest landing.
-
-    The landing time is the modification time of a page's file. It is compared per request by an aggregate, then
-    joined back; pages are never gathered by request.
-    """
-    timed = pages.select("*", F.col("_metadata.file_modification_time").alias("__landed"))
-    newest = timed.groupBy("request_id").agg(F.max("__landed").alias("__landed"))
-    return timed.join(newest, ["request_id", "__landed"], "left_semi").drop("__landed")
