@@ -73,6 +73,9 @@ class Warehouse:
         touched = outside.join(ids, key, "left_semi").select(*on)
         touched = touched.unionByName(rows.select(*on)).distinct().join(slices.select(*on).distinct(), on, "left_anti")
         touched = materialize(touched, f"{table}-touched")
+        if touched.isEmpty():
+            self.replace_slices(table, rows, slices)
+            return
         survivors = outside.join(touched, on, "left_semi").join(ids, key, "left_anti")
         content = project(survivors, table).unionByName(project(rows, table))
         self.replace_slices(
