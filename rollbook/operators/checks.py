@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.operators.flatten import STRICT_DATES
 from rollbook.schemas.tables import TABLES
 
 
@@ -16,24 +17,41 @@ def key_violations(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("rows")).filter(F.col("rows") > 1)
 
 
-def key_failures(rows: DataFrame, key: Sequence[str], across_requests: bool = True) -> DataFrame:
-    """Requests that break the key: twice in one request, or in a later request than the first to bring it."""
+def request_report(rows: DataFrame, table: str, day: str | None = None) -> DataFrame:
+    """One row per request: how many rows it brought for ``table``, and whether they break a rule.
+
+    One pass over the rows and one shuffle, on the table's key: repeated keys, texts that are too long, missing
+    dates and rows of another day than the one asked for are all found in it. ``day`` names the slice column that
+    must hold the day asked for.
+    """
+    spec = TABLES[table]
+    never = F.lit(False)
+    strict = STRICT_DATES.get(table)
+    per_key = rows.groupBy("request_id", *spec.key).agg(
+        F.count("*").alias("rows"),
+        F.bool_or(too_long(table)).alias("long"),
+        F.bool_or(F.col(strict).isNull() if strict else never).alias("undated"),
+        F.bool_or(~F.col(day).eqNullSafe(F.col("AskedDay")) if day else never).alias("stray"),
+    )
+    repeated = F.bool_or(F.col("rows") > 1) if spec.key else F.lit(False)
+    return per_key.groupBy("request_id").agg(
+        F.sum("rows").alias("rows"), F.bool_or("long").alias("long"), F.bool_or("undated").alias("undated"),
+        F.bool_or("stray").alias("stray"), repeated.alias("repeated"),
+    )
+
+
+def shared_key_failures(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Requests that bring a key which an earlier request of the same run brings too. The first one keeps it."""
     per_request = rows.groupBy(*key, "request_id").agg(F.count("*").alias("rows"))
-    if not across_requests:
-        return per_request.filter(F.col("rows") > 1).select("request_id").distinct()
     shared = (
         per_request.groupBy(*key)
-        .agg(F.min("request_id").alias("first"), F.count("*").alias("requests"), F.max("rows").alias("most"))
-        .filter((F.col("requests") > 1) | (F.col("most") > 1))
-        .drop("requests", "most")
+        .agg(F.min("request_id").alias("first"), F.count("*").alias("requests"))
+        .filter(F.col("requests") > 1)
+        .drop("requests")
     )
     same = reduce(Column.__and__, [per_request[c].eqNullSafe(shared[c]) for c in key])
-    return (
-        per_request.join(shared, same)
-        .filter((F.col("rows") > 1) | (F.col("request_id") != F.col("first")))
-        .select("request_id")
-        .distinct()
-    )
+    later = per_request.join(shared, same).filter(F.col("request_id") != F.col("first"))
+    return later.select("request_id").distinct()
 
 
 def stored_key_failures(rows: DataFrame, stored: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -44,9 +62,8 @@ def stored_key_failures(rows: DataFrame, stored: DataFrame, key: Sequence[str])
 
 def too_long(table: str) -> Column:
     """True for a row with a text longer than its column accepts."""
-    limits = TABLES[table].limits
-    tests = [F.length(column) > limit for column, limit in limits.items()]
-    return F.coalesce(reduce(Column.__or__, [F.coalesce(t, F.lit(False)) for t in tests]), F.lit(False))
+    tests = [F.coalesce(F.length(column) > limit, F.lit(False)) for column, limit in TABLES[table].limits.items()]
+    return reduce(Column.__or__, tests, F.lit(False))
 
 
 def length_violations(rows: DataFrame, table: str) -> DataFrame:

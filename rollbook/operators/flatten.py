@@ -24,12 +24,13 @@ from rollbook.functions.columns import (
 from rollbook.operators.project import project
 
 Tables = dict[str, DataFrame]
-ORIGIN = ("request_id", "Academy", "DataSet")
+REQUEST = ("request_id", "AskedDay")
+ORIGIN = (*REQUEST, "Academy", "DataSet")
 
 
 def flatten(records: DataFrame, endpoint: str) -> Tables:
-    """All tables of one endpoint, with exactly the columns they store plus ``request_id``."""
-    return {name: project(df, name, keep=("request_id",)) for name, df in _FLATTEN[endpoint](records).items()}
+    """All tables of one endpoint: the columns they store, and the request each row came from."""
+    return {name: project(df, name, keep=REQUEST) for name, df in _FLATTEN[endpoint](records).items()}
 
 
 def _number(name: str) -> Column:
@@ -409,12 +410,11 @@ _FLATTEN: dict[str, Callable[[DataFrame], Tables]] = {
     "staff": staff,
 }
 
-# The rules a parsed record must meet beyond having its mandatory fields; a request with a record that breaks
-# one fails as a whole.
-STRICT_DATES: dict[str, Callable[[], Column]] = {
-    "Students": lambda: F.col("DateOfBirth").isNotNull(),
-    "StudentLessonMarks": lambda: F.col("Date").isNotNull(),
-    "StudentSessionMarks": lambda: F.col("Date").isNotNull(),
-    "Calendar": lambda: F.col("Date").isNotNull(),
-    "BehEvents": lambda: F.col("EventDate").isNotNull(),
+# Dates without which a request fails as a whole.
+STRICT_DATES = {
+    "Students": "DateOfBirth",
+    "StudentLessonMarks": "Date",
+    "StudentSessionMarks": "Date",
+    "Calendar": "Date",
+    "BehEvents": "EventDate",
 }

@@ -32,9 +32,11 @@ def expand(facts: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
 
     A left join can be split only on its left side, so a key with very many rows on the right would end in one
     task. The matches are therefore an inner join, which AQE can split on both sides, and the facts without a
-    match are added by an anti join against the distinct keys.
+    match are added by an anti join against the distinct keys. ``on`` is a key of ``facts`` and never NULL there;
+    saying so on both branches lets them share one shuffle of the facts.
     """
     on = list(on)
+    facts = facts.dropna(subset=on)
     matched = facts.join(many, on, "inner")
     unmatched = facts.join(many.select(*on).distinct(), on, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -8,14 +8,15 @@ exception, so one bad request never stops another.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.operators.checks import key_failures, stored_key_failures, too_long
-from rollbook.operators.flatten import STRICT_DATES, flatten
+from rollbook.operators.checks import request_report, shared_key_failures, stored_key_failures
+from rollbook.operators.flatten import flatten
 from rollbook.operators.synclog import log_rows
 from rollbook.plans.requests import request_plan
 from rollbook.schemas.endpoints import AREAS, ENDPOINTS, Endpoint
@@ -35,8 +36,8 @@ _GROUPS = {
     "send_attributes": "Send",
     "sensitive_attributes": "Sensitive",
 }
-# Keys without academy and year may already be held by another slice.
-_PLAIN_KEYS = ("BehClassifications", "BehEventTypes")
+# Tables whose key does not name its slice, so that another slice may hold the same key.
+_SHARED_KEYS = ("BehClassifications", "BehEventTypes", "Grades")
 # Where an id that was sent before, by whatever request, is replaced.
 _LAST_WINS = {"beh_events": "BehEventId", "staff": "StaffId"}
 
@@ -56,7 +57,7 @@ def behaviour_sync(warehouse: Warehouse, pages: DataFrame, config: DataFrame, as
 
 def run_sync(
     warehouse: Warehouse, pages: DataFrame, config: DataFrame, as_of: date, areas: Iterable[str] = FULL,
-    dataset: str | None = None, logged_at: datetime | None = None,
+    dataset: str | None = None, logged_at: datetime | None = None, parallel: int = 4,
 ) -> DataFrame:
     """Plan the requests of ``areas``, store what they brought, log every one. Returns the new log rows.
 
@@ -65,19 +66,27 @@ def run_sync(
     areas = tuple(areas)
     plan = request_plan(config, as_of, areas, dataset)
     names = [e.name for area in areas for e in ENDPOINTS.values() if e.area == area]
-    return sync_requests(warehouse, pages, plan, names, logged_at)
+    return sync_requests(warehouse, pages, plan, names, logged_at, parallel)
 
 
 def sync_requests(
     warehouse: Warehouse, pages: DataFrame, plan: DataFrame, endpoints: Iterable[str],
-    logged_at: datetime | None = None,
+    logged_at: datetime | None = None, parallel: int = 4,
 ) -> DataFrame:
-    """Store the requests in ``plan``, endpoint by endpoint."""
+    """Store the requests in ``plan``; ``parallel`` endpoints at a time."""
     # Plan and fetches hold one short row per request. Written out, their size is known when the joins with the
     # pages are planned, so the page texts are not shuffled unless there really are too many requests to broadcast.
     plan = materialize(plan, "plan")
     fetches = materialize(newest_fetches(pages, plan), "fetches")
-    outcomes = [_sync_endpoint(warehouse, pages, plan, fetches, ENDPOINTS[name]) for name in endpoints]
+    # Endpoints that feed the same table take turns; the others run side by side and share the cluster.
+    lanes: dict[str, list[Endpoint]] = {}
+    for name in endpoints:
+        lanes.setdefault(ENDPOINTS[name].tables[0], []).append(ENDPOINTS[name])
+    with ThreadPoolExecutor(parallel) as pool:
+        outcomes = pool.map(
+            lambda lane: [_sync_endpoint(warehouse, pages, plan, fetches, e) for e in lane], lanes.values()
+        )
+        outcomes = [outcome for lane in outcomes for outcome in lane]
     log = materialize(log_rows(reduce(DataFrame.unionByName, outcomes), logged_at), "log")
     warehouse.append("SyncResults", log)
     return log
@@ -93,81 +102,91 @@ def _sync_endpoint(
 
     chains = asked.select("request_id").join(chain_status(parsed), "request_id", "left")
     chains = chains.select(
-        "request_id",
-        F.when(F.col("pages").isNull(), F.lit("no page landed")).otherwise(F.col("problem")).alias("problem"),
-        F.lit(None).cast("string").alias("detail"),
+        "request_id", F.when(F.col("pages").isNull(), "no page landed").otherwise(F.col("problem")).alias("problem")
     )
     chains = materialize(chains, f"{endpoint.name}-chains")
     readable = parsed.join(chains.filter(F.col("problem").isNull()), "request_id", "left_semi")
     tables = flatten(records_of(readable), endpoint.name)
 
-    found = chains.filter(F.col("problem").isNotNull())
-    slices = _slices(asked, endpoint)
+    found = chains.withColumns({"detail": F.lit(None).cast("string"), "rows": F.lit(None).cast("long")})
     for name, rows in tables.items():
-        for failure in _failures(warehouse, endpoint, name, rows, slices):
-            found = found.unionByName(failure)
-    problems = found.groupBy("request_id").agg(F.min(F.struct("problem", "detail")).alias("first"))
-    outcome = asked.join(problems, "request_id", "left").select(
-        *asked.columns, F.col("first.problem").alias("problem"), F.col("first.detail").alias("detail")
+        for report in _reports(warehouse, endpoint, name, rows, asked):
+            found = found.unionByName(report)
+    outcome = found.groupBy("request_id").agg(
+        F.min(F.when(F.col("problem").isNotNull(), F.struct("problem", "detail"))).alias("first"),
+        *[F.sum(F.when(F.col("detail") == name, F.col("rows"))).alias(f"rows_{name}") for name in tables],
+    )
+    outcome = asked.join(outcome, "request_id").select(
+        *asked.columns, F.col("first.problem").alias("problem"), F.col("first.detail").alias("detail"),
+        *[f"rows_{name}" for name in tables],
     )
     outcome = materialize(_stop_after_failed_year(outcome, endpoint), f"{endpoint.name}-outcome")
 
     stored = outcome.filter(F.col("problem").isNull() & ~F.col("skipped"))
-    good_slices = _slices(stored, endpoint)
+    slices = _slices(stored, endpoint)
     good_records = records_of(readable).join(stored.select("request_id"), "request_id", "left_semi")
     for name, rows in tables.items():
         good = rows.join(stored.select("request_id"), "request_id", "left_semi")
-        _store(warehouse, endpoint, name, good, good_slices, good_records)
-    return outcome
+        empty = slices.filter(F.col(f"rows_{name}").isNull())
+        _store(warehouse, endpoint, name, good, slices, empty, good_records)
+    return outcome.drop(*[f"rows_{name}" for name in tables])
 
 
 def _store(
-    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, records: DataFrame
+    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, empty: DataFrame,
+    records: DataFrame,
 ) -> None:
-    if endpoint.name in _LAST_WINS:
-        key = _LAST_WINS[endpoint.name]
-        sent = records.select(F.col("row.id").alias(key), "request_id")
-        last = sent.groupBy(key).agg(F.max("request_id").alias("request_id"))
-        rows = rows.join(last, [key, "request_id"], "left_semi")
-        # Only the staff who were sent again are replaced; leavers stay, so no slice is emptied.
-        replaced = slices.filter(F.lit(False)) if endpoint.name == "staff" else slices
-        warehouse.replace_by_id(name, rows, replaced, key, sent)
-    else:
-        warehouse.replace_slices(name, rows, slices)
-
-
-def _failures(
-    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame
+    if endpoint.name not in _LAST_WINS:
+        warehouse.replace_slices(name, rows, slices, empty)
+        return
+    key = _LAST_WINS[endpoint.name]
+    sent = records.select(F.col("row.id").alias(key), "request_id")
+    last = sent.groupBy(key).agg(F.max("request_id").alias("request_id"))
+    rows = rows.join(last, [key, "request_id"], "left_semi")
+    # Only the staff who were sent again are replaced; leavers stay, so no slice is emptied.
+    replaced = slices.filter(F.lit(False)) if endpoint.name == "staff" else slices
+    warehouse.replace_by_id(name, rows, replaced, key, sent)
+
+
+def _reports(
+    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, asked: DataFrame
 ) -> list[DataFrame]:
-    """The requests that break a rule of the table, one frame per rule."""
+    """Requests with the rows they bring for a table, and those that break one of its rules."""
     spec = TABLES[name]
-
-    def failing(requests: DataFrame, problem: str) -> DataFrame:
-        return requests.select("request_id", F.lit(problem).alias("problem"), F.lit(name).alias("detail"))
-
-    wrong = rows.filter(too_long(name)).select("request_id").distinct()
-    checks = [failing(wrong, "text too long")]
-    if spec.key:
-        across = endpoint.name not in _LAST_WINS
-        checks.append(failing(key_failures(rows, spec.key, across), "duplicate key"))
-    if name in STRICT_DATES:
-        undated = rows.filter(~STRICT_DATES[name]()).select("request_id").distinct()
-        checks.append(failing(undated, "bad date"))
-    if endpoint.scope == "day":
-        per_slice = rows.select("request_id", *spec.slice).distinct()
-        stray = per_slice.join(slices.select("request_id", *spec.slice), ["request_id", *spec.slice], "left_anti")
-        checks.append(failing(stray.select("request_id").distinct(), "row of another day"))
-    if name in _PLAIN_KEYS:
-        elsewhere = warehouse.read(name).join(slices.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
-        checks.append(failing(stored_key_failures(rows, elsewhere, spec.key), "key held by another slice"))
-    return checks
+    day = spec.slice[-1] if endpoint.scope == "day" else None
+    problem = (
+        F.when(F.col("undated"), "bad date")
+        .when(F.col("long"), "text too long")
+        .when(F.col("repeated"), "duplicate key")
+        .when(F.col("stray"), "row of another day")
+    )
+    reports = [
+        request_report(rows, name, day).select("request_id", problem.alias("problem"), F.lit(name).alias("detail"), "rows")
+    ]
+    if name in _SHARED_KEYS:
+        slices = _slices(asked, endpoint).select(*spec.slice).distinct()
+        stored = warehouse.read(name)
+        if name == "Grades":
+            # The key holds academy and year, so only their slices can hold it; the others' folders are not read.
+            stored = stored.join(slices.select("Academy", "DataSet").distinct(), ["Academy", "DataSet"], "left_semi")
+        elsewhere = stored.join(slices, list(spec.slice), "left_anti")
+        for failing, what in (
+            (shared_key_failures(rows, spec.key), "duplicate key"),
+            (stored_key_failures(rows, elsewhere, spec.key), "key held by another slice"),
+        ):
+            reports.append(
+                failing.select(
+                    "request_id", F.lit(what).alias("problem"), F.lit(name).alias("detail"),
+                    F.lit(None).cast("long").alias("rows"),
+                )
+            )
+    return reports
 
 
 def _slices(requests: DataFrame, endpoint: Endpoint) -> DataFrame:
-    """The slice each request covers, under every name a table may give its slice columns."""
-    return requests.select(
-        "request_id", "Academy", "DataSet", "NCYear", "Date", F.col("Date").alias("EventDay"),
-        F.lit(_GROUPS.get(endpoint.name)).cast("string").alias("AttributeGroup"),
+    """The requests with the slice each covers, under every name a table may give its slice columns."""
+    return requests.withColumns(
+        {"EventDay": F.col("Date"), "AttributeGroup": F.lit(_GROUPS.get(endpoint.name)).cast("string")}
     )
 
 

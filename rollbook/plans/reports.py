@@ -46,11 +46,11 @@ def session_attendance(t: Tables) -> DataFrame:
 def behaviour(t: Tables) -> DataFrame:
     """Behaviour events, one row per student involved, with type, class, author, student and subject."""
     events = t["BehEvents"].select(
-        "BehEventId", "Academy", "DataSet", "BehEventTypeId", F.col("EventDate").alias("event_date"),
-        "CreatedByStaffId", "Closed", "Cancelled", "GroupName", "SubjectCode", "YearGroup", "SchoolNotes",
+        "BehEventId", "Academy", "DataSet", "BehEventTypeId", "EventDate", "CreatedByStaffId",
+        "Closed", "Cancelled", "GroupName", "SubjectCode", "YearGroup", "SchoolNotes",
     )
-    involved = t["BehEventStudents"].select("BehEventId", F.col("StudentId").alias("InvolvedId"))
-    rows = expand(events, involved, ["BehEventId"])
+    involved = t["BehEventStudents"].select("BehEventId", "StudentId")
+    rows = expand(events, involved, ["BehEventId"]).withColumnRenamed("StudentId", "InvolvedId")
     rows = look_up(rows, t["BehEventTypes"], {"BehEventTypeId": "BehEventTypeId"}, {
         "BehClassificationId": "BehClassificationId", "Code": "event_code", "Name": "event_type",
         "Significance": "Significance",
@@ -72,8 +72,8 @@ def behaviour(t: Tables) -> DataFrame:
     return rows.select(
         "BehEventId", "Academy", "DataSet", "StudentId", "UPN", "student_first_name", "student_last_name",
         "behaviour_class", "Score", "event_code", "event_type", "SubjectCode", "Subject", "YearGroup", "GroupName",
-        "Significance", "event_date", "created_by_first_name", "created_by_last_name", "created_by_email",
-        "SchoolNotes", "Cancelled", "Closed",
+        "Significance", F.col("EventDate").alias("event_date"), "created_by_first_name", "created_by_last_name",
+        "created_by_email", "SchoolNotes", "Cancelled", "Closed",
     )
 
 

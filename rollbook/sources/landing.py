@@ -32,37 +32,40 @@ def parse_pages(pages: DataFrame, endpoint: Endpoint) -> DataFrame:
 
     An envelope without its row key, text that is not JSON, a value of the wrong type and a record without
     its mandatory fields all make ``page_ok`` false; no default-valued row is ever made up.
+
+    The parsed struct passes through ``inline``: later filters are not pushed below it, where they would repeat the
+    parsing for every column they mention.
     """
     body = F.col("body")
     as_envelope = F.when(
         F.ltrim(body).startswith("["), _wrap(endpoint, F.lit(""), body, F.lit(""))
     ).otherwise(body)
     parsed = pages.select(
-        *PAGE_COLUMNS, "body", F.from_json(as_envelope, endpoint.page_ddl).alias("page")
-    )
-    has_rows = F.col(f"page.`{endpoint.key}`").isNotNull()
-    single = F.from_json(_wrap(endpoint, F.lit("["), body, F.lit("]")), endpoint.page_ddl)
-    parsed = parsed.select(
-        *PAGE_COLUMNS,
-        F.when(has_rows | F.col("page._corrupt_record").isNotNull(), F.col("page")).otherwise(single).alias("page"),
+        *PAGE_COLUMNS, "body", F.inline(F.array(F.from_json(as_envelope, endpoint.page_ddl)))
     )
-    records = F.col(f"page.`{endpoint.key}`")
+    records = F.col(f"`{endpoint.key}`")
+    page = F.struct(records, "has_more", "cursor", "_corrupt_record")
+    is_envelope = records.isNotNull() | F.col("_corrupt_record").isNotNull()
+    as_object = F.from_json(_wrap(endpoint, F.lit("["), body, F.lit("]")), endpoint.page_ddl)
+    parsed = parsed.select(*PAGE_COLUMNS, F.inline(F.array(F.when(is_envelope, page).otherwise(as_object))))
     complete = F.forall(
         records,
         lambda r: r.isNotNull() & reduce(Column.__and__, [r[f].isNotNull() for f in endpoint.must_have]),
     )
     return parsed.select(
         *PAGE_COLUMNS,
-        F.coalesce(F.col("page.has_more"), F.lit(False)).alias("has_more"),
-        F.col("page.cursor").alias("cursor_out"),
-        F.coalesce(F.col("page._corrupt_record").isNull() & complete, F.lit(False)).alias("page_ok"),
+        F.coalesce(F.col("has_more"), F.lit(False)).alias("has_more"),
+        F.col("cursor").alias("cursor_out"),
+        F.coalesce(F.col("_corrupt_record").isNull() & complete, F.lit(False)).alias("page_ok"),
         records.alias("records"),
     )
 
 
 def records_of(parsed: DataFrame) -> DataFrame:
-    """One row per record, in column ``row``, with the request it came from."""
-    return parsed.select("request_id", "Academy", "DataSet", "NCYear", "Date", F.explode("records").alias("row"))
+    """One row per record, in column ``row``, with the request it came from and the day it asked for."""
+    return parsed.select(
+        "request_id", "Academy", "DataSet", "NCYear", F.col("Date").alias("AskedDay"), F.explode("records").alias("row")
+    )
 
 
 def chain_status(parsed: DataFrame) -> DataFrame:

@@ -35,9 +35,13 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
 
-    def replace_slices(self, table: str, rows: DataFrame, slices: DataFrame) -> None:
+    def replace_slices(
+        self, table: str, rows: DataFrame, slices: DataFrame, empty: DataFrame | None = None
+    ) -> None:
         """Make ``rows`` the whole content of ``slices``; other slices are not touched or read.
 
+        ``empty`` names the slices without rows where the caller knows them; else they are looked up.
+
         The write overwrites the folders of the slices that have rows. Those that have none keep their old folder
         under a dynamic overwrite, so they are removed by name. The rows are rebalanced by slice: AQE joins small
         slices into one file each and splits a slice that is too large for one task.
@@ -53,11 +57,11 @@ class Warehouse:
             .partitionBy(*spec.slice)
             .parquet(self.path(table))
         )
-        filled = rows.select(*spec.slice).distinct()
-        empty = slices.select(*spec.slice).distinct().join(filled, list(spec.slice), "left_anti")
+        if empty is None:
+            empty = slices.join(rows.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
         # One short row per slice that was asked for and came back empty: bounded by the request plan, and
         # fetched a partition at a time.
-        for row in empty.toLocalIterator():
+        for row in empty.select(*spec.slice).distinct().toLocalIterator():
             self._delete("/".join([self.path(table), *[f"{c}={_escaped(str(row[c]))}" for c in spec.slice]]))
 
     def replace_by_id(self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame) -> None:

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.operators.flatten import flatten
+from rollbook.operators.flatten import REQUEST, flatten
 from rollbook.plans.requests import request_id
 from rollbook.schemas.endpoints import ENDPOINTS
 from rollbook.sources.landing import parse_pages, records_of
@@ -246,7 +246,7 @@ def ingest(
 ) -> DataFrame:
     """Source rows -> JSON pages -> parsed records -> the rows of one table."""
     parsed = parse_pages(pages(standins, endpoint, shape), ENDPOINTS[endpoint])
-    return flatten(records_of(parsed.filter("page_ok")), endpoint)[table].drop("request_id")
+    return flatten(records_of(parsed.filter("page_ok")), endpoint)[table].drop(*REQUEST)
 
 
 # --- landings of many pages per request ---------------------------------------------------------------------------
