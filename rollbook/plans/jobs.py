@@ -144,8 +144,9 @@ def _store(
     last = sent.groupBy(key).agg(F.max("request_id").alias("request_id"))
     rows = rows.join(last, [key, "request_id"], "left_semi")
     # Only the staff who were sent again are replaced; leavers stay, so no slice is emptied.
-    replaced = slices.filter(F.lit(False)) if endpoint.name == "staff" else slices
-    warehouse.replace_by_id(name, rows, replaced, key, sent)
+    whole_slices = endpoint.name != "staff"
+    replaced = slices if whole_slices else slices.filter(F.lit(False))
+    warehouse.replace_by_id(name, rows, replaced, key, sent, inside=whole_slices)
 
 
 def _reports(

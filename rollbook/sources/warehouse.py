@@ -64,19 +64,24 @@ class Warehouse:
         for row in empty.select(*spec.slice).distinct().toLocalIterator():
             self._delete("/".join([self.path(table), *[f"{c}={_escaped(str(row[c]))}" for c in spec.slice]]))
 
-    def replace_by_id(self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame) -> None:
+    def replace_by_id(
+        self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True
+    ) -> None:
         """Replace the slices, and remove rows with a sent id from every other slice as well.
 
         Only the slices that hold such rows are rewritten. Their other rows are staged in the shared folder before
-        anything is overwritten, so a job that dies half-way has lost nothing.
+        anything is overwritten, so a job that dies half-way has lost nothing. ``inside`` says that all rows lie in
+        the slices; otherwise the slices they fall into keep their other rows.
         """
         spec = TABLES[table]
         on = list(spec.slice)
         ids = sent_ids.select(key).distinct()
         outside = self.read(table).join(slices.select(*on).distinct(), on, "left_anti")
         touched = outside.join(ids, key, "left_semi").select(*on)
-        touched = touched.unionByName(rows.select(*on)).distinct().join(slices.select(*on).distinct(), on, "left_anti")
-        touched = materialize(touched, f"{table}-touched")
+        if not inside:
+            beside = rows.select(*on).distinct().join(slices.select(*on).distinct(), on, "left_anti")
+            touched = touched.unionByName(beside)
+        touched = materialize(touched.distinct(), f"{table}-touched")
         if touched.isEmpty():
             self.replace_slices(table, rows, slices)
             return

@@ -28,4 +28,10 @@ def _on(build: Query) -> Callable[[SparkSession, str], DataFrame]:
 
 
 # The modules below fill the catalogue.
-from standins import ingest_queries, lookup_queries, maintenance_queries, report_queries  # noqa: E402, F401
+from standins import (  # noqa: E402, F401
+    ingest_queries,
+    lookup_queries,
+    maintenance_queries,
+    report_queries,
+    scalar_queries,
+)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollbook.schemas.tables import TABLES
 from standins.catalogue import register
@@ -122,10 +123,15 @@ EXPECTED: dict[tuple[str, str], str] = {
     ("staff", "Staff"): _same("Staff"),
 }
 
+def _ingest(t, endpoint: str, table: str) -> DataFrame:
+    rows = ingest(t, endpoint, table)
+    return rows.withColumn("Mark", F.col("Mark").cast("double")) if "Mark" in rows.columns else rows
+
+
 _PER_ENDPOINT = {e: [t for x, t in EXPECTED if x == e] for e, _ in EXPECTED}
 for (endpoint, table), sql in EXPECTED.items():
     name = f"ingest_{endpoint}" if len(_PER_ENDPOINT[endpoint]) == 1 else f"ingest_{endpoint}__{table}"
-    register(name, lambda t, e=endpoint, n=table: ingest(t, e, n), sql)
+    register(name, lambda t, e=endpoint, n=table: _ingest(t, e, n), sql)
 
 register("ingest_bare_array", lambda t: ingest(t, "subjects", "Subjects", bare_array), _same("Subjects"))
 register("ingest_single_object", lambda t: ingest(t, "students", "Students", bare_object), _same("Students"))

@@ -62,8 +62,9 @@ register(
           else 0 end broken
       from (select * from q where page_no>1) a
       full join (select * from q where has_more) d on d.request_no=a.request_no and d.page_no+1=a.page_no),
-    broken as (select request_no, sum(broken) n from links group by request_no),
-    counted as (select request_no, count(*) pages, sum(case when unreadable then 1 else 0 end) unreadable,
+    broken as (select request_no, cast(sum(broken) as bigint) n from links group by request_no),
+    counted as (select request_no, count(*) pages,
+      cast(sum(case when unreadable then 1 else 0 end) as bigint) unreadable,
       sum(case when page_no=1 and cursor_in is null then 1 else 0 end) first_pages,
       sum(case when not has_more then 1 else 0 end) last_pages from q group by request_no)
     select concat('r',cast(cast(c.request_no as bigint) as string)) request_id, c.pages, c.unreadable,
@@ -347,7 +348,7 @@ register(
     lambda t: checks.length_violations(t.sql(_NOTES), "StudentLessonMarks"),
     " union all ".join(
         f"select '{c}' column_name, cast({n} as int) max_length, "
-        f"coalesce(sum(case when length({c})>{n} then 1 else 0 end),0) as rows from ({_NOTES})"
+        f"cast(coalesce(sum(case when length({c})>{n} then 1 else 0 end),0) as bigint) as rows from ({_NOTES})"
         for c, n in _NOTE_LIMITS.items()
     ),
 )

@@ -1,5 +1,8 @@
 """The two views and four reports."""
 
+from pyspark.sql import functions as F
+
+from rollbook.operators.attributes import CONTEXT_COLUMNS
 from rollbook.plans import reports
 from standins.catalogue import register
 
@@ -44,8 +47,6 @@ def _shown(name: str, attribute: str, default: str, as_yes_no: bool) -> str:
     return f"max(case when t.AttributeName='{attribute}' then {value} else '{default}' end) {name}"
 
 
-from rollbook.operators.attributes import CONTEXT_COLUMNS  # noqa: E402
-
 register(
     "student_context_pivot",
     reports.student_context,
@@ -102,7 +103,7 @@ register(
 )
 register(
     "markslot_marks_report",
-    reports.markslot_marks,
+    lambda t: reports.markslot_marks(t).withColumn("MarkslotMark", F.col("MarkslotMark").cast("double")),
     """
     select s.StudentId, s.Academy, s.DataSet, d.UPN, substring(d.NCYear,1,30) NCYear, s.PreferredFirstName,
       s.PreferredLastName, d.RegistrationGroup RegGroup, m.Name MarksheetName, l.Name MarkslotName,

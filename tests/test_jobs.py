@@ -4,7 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
-from rollbook.plans import jobs
+from rollbook.plans import jobs, reports
 from rollbook.plans.requests import plan_endpoints
 from rollbook.schemas.endpoints import ENDPOINTS
 from rollbook.session import scratch_path
@@ -60,23 +60,28 @@ def test_slice_names_with_special_characters(warehouse):
     assert stored(warehouse, "Subjects", "Academy") == []
 
 
-@pytest.mark.parametrize(
-    ("body", "problem"),
-    [
-        ({"students": [{"id": 1, "date_of_birth": "x"}]}, "bad date"),
-        ({"students": [{"id": 1, "date_of_birth": "2010-01-01T00:00:00Z", "sex": "FF"}]}, "text too long"),
-        ({"students": [{"id": 1, "date_of_birth": "2010-01-01T00:00:00Z"}] * 2}, "duplicate key"),
-        ({"has_more": False}, "unreadable page"),
-        ({"students": [], "has_more": True, "cursor": 4}, "broken page chain"),
-    ],
-)
-def test_a_bad_request_keeps_its_old_slice_and_stops_no_other(warehouse, body, problem):
+BAD = {
+    "bad date": {"students": [{"id": 1, "date_of_birth": "x"}]},
+    "text too long": {"students": [{"id": 1, "date_of_birth": "2010-01-01T00:00:00Z", "sex": "FF"}]},
+    "duplicate key": {"students": [{"id": 1, "date_of_birth": "2010-01-01T00:00:00Z"}] * 2},
+    "unreadable page": {"has_more": False},
+    "broken page chain": {"students": [], "has_more": True, "cursor": 4},
+}
+
+
+def test_a_bad_request_keeps_its_old_slice_and_stops_no_other(warehouse):
     good = {"students": [{"id": 7, "date_of_birth": "2011-02-03T00:00:00Z", "sex": "F"}]}
-    sync(warehouse, page("students", good, "A"), page("students", good, "B"))
+    sync(warehouse, page("students", good, "Good"), *[page("students", good, f"A{i}") for i in range(len(BAD))])
     better = {"students": [{"id": 8, "date_of_birth": "2011-02-03T00:00:00Z", "sex": "F"}]}
-    log = sync(warehouse, page("students", body, "A"), page("students", better, "B"))
-    assert log == {("A", None, None): (False, problem), ("B", None, None): (True, None)}
-    assert stored(warehouse, "Students", "StudentId") == [("A2021-7",), ("B2021-8",)]
+    log = sync(
+        warehouse, page("students", better, "Good"),
+        *[page("students", body, f"A{i}") for i, body in enumerate(BAD.values())],
+    )
+    assert log.pop(("Good", None, None)) == (True, None)
+    assert log == {(f"A{i}", None, None): (False, problem) for i, problem in enumerate(BAD)}
+    assert stored(warehouse, "Students", "StudentId") == [
+        *[(f"A{i}2021-7",) for i in range(len(BAD))], ("Good2021-8",),
+    ]
 
 
 def test_a_failed_year_group_stops_the_later_ones(warehouse):
@@ -253,9 +258,27 @@ def test_full_sync_of_every_endpoint(spark, warehouse, standins):
     expected = standins["Students"].filter("Academy='A1' and DataSet='2021'").count()
     assert warehouse.read("Students").count() == expected > 0
     for table in ("EducationDetails", "AttributeValues", "Subjects", "Markslots", "ExamResults", "Calendar",
-                  "StudentLessonMarks", "Periods", "BehEvents", "BehEventStudents", "Staff", "AttendanceAliasCodes"):
+                  "StudentLessonMarks", "Periods", "BehEvents", "BehEventStudents", "AttendanceAliasCodes"):
         assert warehouse.read(table).count() > 0, table
 
+    stored_tables = warehouse.tables()
+    for report in (reports.session_attendance, reports.behaviour, reports.student_context, reports.subject_grades,
+                   reports.forecast_grades, reports.markslot_marks):
+        assert report(stored_tables).columns
+    events = warehouse.read("BehEvents").count()
+    assert reports.behaviour(stored_tables).select("BehEventId").distinct().count() == events
+    reports.register_views(stored_tables)
+    assert spark.table("v_SessionAttendance").count() == warehouse.read("StudentSessionMarks").count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = executed(reports.behaviour(stored_tables))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ReusedExchange" in plan  # the events are shuffled once, for those with students and those without
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
 
 def log_skipped(log, landed):
     """Requests of later year groups than a failed one."""
