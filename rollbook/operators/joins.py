@@ -36,7 +36,8 @@ def expand(facts: DataFrame, many: DataFrame, on: Sequence[str]) -> DataFrame:
     saying so on both branches lets them share one shuffle of the facts.
     """
     on = list(on)
-    facts = facts.dropna(subset=on)
+    for column in on:
+        facts = facts.filter(F.col(column).isNotNull())
     matched = facts.join(many, on, "inner")
     unmatched = facts.join(many.select(*on).distinct(), on, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -45,9 +45,10 @@ def session_attendance(t: Tables) -> DataFrame:
 
 def behaviour(t: Tables) -> DataFrame:
     """Behaviour events, one row per student involved, with type, class, author, student and subject."""
+    # In the order of the stored columns, so that both branches of the expansion read and shuffle the same frame.
     events = t["BehEvents"].select(
-        "BehEventId", "Academy", "DataSet", "BehEventTypeId", "EventDate", "CreatedByStaffId",
-        "Closed", "Cancelled", "GroupName", "SubjectCode", "YearGroup", "SchoolNotes",
+        "BehEventId", "BehEventTypeId", "EventDate", "Closed", "Cancelled", "GroupName", "SubjectCode", "YearGroup",
+        "SchoolNotes", "CreatedByStaffId", "Academy", "DataSet",
     )
     involved = t["BehEventStudents"].select("BehEventId", "StudentId")
     rows = expand(events, involved, ["BehEventId"]).withColumnRenamed("StudentId", "InvolvedId")
