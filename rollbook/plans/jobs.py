@@ -21,7 +21,7 @@ from rollbook.operators.synclog import log_rows
 from rollbook.plans.requests import request_plan
 from rollbook.schemas.endpoints import AREAS, ENDPOINTS, Endpoint
 from rollbook.schemas.tables import TABLES
-from rollbook.session import materialize
+from rollbook.session import materialize, remove, scratch_path
 from rollbook.sources.landing import chain_status, newest_fetches, parse_pages, records_of
 from rollbook.sources.warehouse import Warehouse
 
@@ -76,35 +76,37 @@ def sync_requests(
     """Store the requests in ``plan``; ``parallel`` endpoints at a time."""
     # Plan and fetches hold one short row per request. Written out, their size is known when the joins with the
     # pages are planned, so the page texts are not shuffled unless there really are too many requests to broadcast.
-    plan = materialize(plan, "plan")
-    fetches = materialize(newest_fetches(pages, plan), "fetches")
+    folder = scratch_path(warehouse.spark, "sync")
+    plan = materialize(plan, "plan", folder)
+    fetches = materialize(newest_fetches(pages, plan), "fetches", folder)
     # Endpoints that feed the same table take turns; the others run side by side and share the cluster.
     lanes: dict[str, list[Endpoint]] = {}
     for name in endpoints:
         lanes.setdefault(ENDPOINTS[name].tables[0], []).append(ENDPOINTS[name])
     with ThreadPoolExecutor(parallel) as pool:
         outcomes = pool.map(
-            lambda lane: [_sync_endpoint(warehouse, pages, plan, fetches, e) for e in lane], lanes.values()
+            lambda lane: [_sync_endpoint(warehouse, pages, plan, fetches, e, folder) for e in lane], lanes.values()
         )
         outcomes = [outcome for lane in outcomes for outcome in lane]
     log = materialize(log_rows(reduce(DataFrame.unionByName, outcomes), logged_at), "log")
     warehouse.append("SyncResults", log)
+    remove(warehouse.spark, folder)
     return log
 
 
 def _sync_endpoint(
-    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint
+    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str
 ) -> DataFrame:
     asked = plan.filter(F.col("endpoint") == endpoint.name)
     landed = pages.filter(F.col("endpoint") == endpoint.name)
     landed = landed.join(fetches, ["request_id", "fetched_at"], "left_semi")
-    parsed = materialize(parse_pages(landed, endpoint), f"{endpoint.name}-pages")
+    parsed = materialize(parse_pages(landed, endpoint), f"{endpoint.name}-pages", folder)
 
     chains = asked.select("request_id").join(chain_status(parsed), "request_id", "left")
     chains = chains.select(
         "request_id", F.when(F.col("pages").isNull(), "no page landed").otherwise(F.col("problem")).alias("problem")
     )
-    chains = materialize(chains, f"{endpoint.name}-chains")
+    chains = materialize(chains, f"{endpoint.name}-chains", folder)
     readable = parsed.join(chains.filter(F.col("problem").isNull()), "request_id", "left_semi")
     tables = flatten(records_of(readable), endpoint.name)
 
@@ -120,7 +122,7 @@ def _sync_endpoint(
         *asked.columns, F.col("first.problem").alias("problem"), F.col("first.detail").alias("detail"),
         *[f"rows_{name}" for name in tables],
     )
-    outcome = materialize(_stop_after_failed_year(outcome, endpoint), f"{endpoint.name}-outcome")
+    outcome = materialize(_stop_after_failed_year(outcome, endpoint), f"{endpoint.name}-outcome", folder)
 
     stored = outcome.filter(F.col("problem").isNull() & ~F.col("skipped"))
     slices = _slices(stored, endpoint)
@@ -128,13 +130,13 @@ def _sync_endpoint(
     for name, rows in tables.items():
         good = rows.join(stored.select("request_id"), "request_id", "left_semi")
         empty = slices.filter(F.col(f"rows_{name}").isNull())
-        _store(warehouse, endpoint, name, good, slices, empty, good_records)
+        _store(warehouse, endpoint, name, good, slices, empty, good_records, folder)
     return outcome.drop(*[f"rows_{name}" for name in tables])
 
 
 def _store(
     warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, empty: DataFrame,
-    records: DataFrame,
+    records: DataFrame, folder: str,
 ) -> None:
     if endpoint.name not in _LAST_WINS:
         warehouse.replace_slices(name, rows, slices, empty)
@@ -146,7 +148,7 @@ def _store(
     # Only the staff who were sent again are replaced; leavers stay, so no slice is emptied.
     whole_slices = endpoint.name != "staff"
     replaced = slices if whole_slices else slices.filter(F.lit(False))
-    warehouse.replace_by_id(name, rows, replaced, key, sent, inside=whole_slices)
+    warehouse.replace_by_id(name, rows, replaced, key, sent, whole_slices, folder)
 
 
 def _reports(

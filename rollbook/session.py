@@ -47,16 +47,27 @@ def scratch_root(spark: SparkSession) -> str:
     return own
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it wants it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, where = file_system(spark, path)
+    fs.delete(where, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/rollbook/{uuid.uuid4().hex}/{name}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder, or a ``folder`` in it, and read it back.
 
     Cuts the lineage in files that survive the loss of an executor, and lets later steps read only the
     columns they need.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = f"{folder}/{name}" if folder else scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rollbook.operators.project import project
 from rollbook.schemas.tables import GRADE_TYPES, TABLES
-from rollbook.session import materialize
+from rollbook.session import file_system, materialize, remove
 
 # Characters that a partition folder's name writes as %XX.
 _ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(32)}
@@ -28,7 +28,8 @@ class Warehouse:
         if table == "GradeTypes":
             return grade_types(self.spark)
         schema = TABLES[table].storage_schema
-        if not self._exists(self.path(table)):
+        fs, where = file_system(self.spark, self.path(table))
+        if not fs.exists(where):
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(self.path(table))
 
@@ -62,16 +63,18 @@ class Warehouse:
         # One short row per slice that was asked for and came back empty: bounded by the request plan, and
         # fetched a partition at a time.
         for row in empty.select(*spec.slice).distinct().toLocalIterator():
-            self._delete("/".join([self.path(table), *[f"{c}={_escaped(str(row[c]))}" for c in spec.slice]]))
+            folder = "/".join([self.path(table), *[f"{c}={_escaped(str(row[c]))}" for c in spec.slice]])
+            remove(self.spark, folder)
 
     def replace_by_id(
-        self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True
+        self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,
+        folder: str | None = None,
     ) -> None:
         """Replace the slices, and remove rows with a sent id from every other slice as well.
 
         Only the slices that hold such rows are rewritten. Their other rows are staged in the shared folder before
         anything is overwritten, so a job that dies half-way has lost nothing. ``inside`` says that all rows lie in
-        the slices; otherwise the slices they fall into keep their other rows.
+        the slices; otherwise the slices they fall into keep their other rows. ``folder`` is where to stage.
         """
         spec = TABLES[table]
         on = list(spec.slice)
@@ -81,31 +84,18 @@ class Warehouse:
         if not inside:
             beside = rows.select(*on).distinct().join(slices.select(*on).distinct(), on, "left_anti")
             touched = touched.unionByName(beside)
-        touched = materialize(touched.distinct(), f"{table}-touched")
+        touched = materialize(touched.distinct(), f"{table}-touched", folder)
         if touched.isEmpty():
             self.replace_slices(table, rows, slices)
             return
         survivors = outside.join(touched, on, "left_semi").join(ids, key, "left_anti")
         content = project(survivors, table).unionByName(project(rows, table))
-        self.replace_slices(
-            table, materialize(content, f"{table}-content"), slices.select(*on).unionByName(touched)
-        )
+        content = materialize(content, f"{table}-content", folder)
+        self.replace_slices(table, content, slices.select(*on).unionByName(touched))
 
     def append(self, table: str, rows: DataFrame) -> None:
         project(rows, table).write.mode("append").parquet(self.path(table))
 
-    def _exists(self, path: str) -> bool:
-        fs, where = self._file_system(path)
-        return fs.exists(where)
-
-    def _delete(self, path: str) -> None:
-        fs, where = self._file_system(path)
-        fs.delete(where, True)
-
-    def _file_system(self, path: str):
-        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()), where
-
 
 def grade_types(spark: SparkSession) -> DataFrame:
     """The fixed grade types, as constants inside the plan."""
