@@ -8,16 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.operators import checks, replace, synclog
+from rollbook.operators.joins import look_up
 from rollbook.plans.jobs import sync_requests
 from rollbook.plans.requests import plan_endpoints
 from rollbook.schemas.endpoints import ENDPOINTS
 from rollbook.schemas.tables import TABLES
 from rollbook.session import scratch_path
 from rollbook.sources.landing import chain_status, parse_pages
-from rollbook.sources.warehouse import Warehouse
+from rollbook.sources.warehouse import Warehouse, grade_types
 from rollbook.streaming.rolling import requests_of, rolling_sync
 from standins.catalogue import register
-from standins.pages import BLOCK, landing
+from standins.pages import BLOCK, PAGE_SIZE, landing
 from standins.relations import RELATIONS, Standins
 
 
@@ -367,6 +368,20 @@ register(
     ),
 )
 
+# --- grade types -------------------------------------------------------------------------------------------------
+
+register(
+    "grade_types_seed",
+    lambda t: look_up(
+        t["GradeNames"].select("GradeNameId", "GradeTypeId", "Name"), grade_types(t.spark),
+        {"GradeTypeId": "GradeTypeId"}, {"Name": "GradeType"},
+    ),
+    """
+    select n.GradeNameId, n.GradeTypeId, n.Name, g.Name GradeType
+    from {GradeNames} n left join {GradeTypes} g on g.GradeTypeId=n.GradeTypeId
+    """,
+)
+
 # --- sync log ---------------------------------------------------------------------------------------------------
 
 register(
@@ -396,7 +411,7 @@ _EVENT_RECORD = """struct(o_orderkey id, o_custkey event_type_id,
 _FIRST, _SECOND = "2024-06-01 06:00:00", "2024-06-02 06:00:00"
 
 
-def _behaviour_job(t: Standins, table: str) -> DataFrame:
+def _behaviour_job(t: Standins) -> Warehouse:
     """All days are loaded, then those of two academies again: one with changed notes, one whose first pages are
     missing, so that its old rows stay."""
     warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
@@ -404,17 +419,12 @@ def _behaviour_job(t: Standins, table: str) -> DataFrame:
     again = landing(t, "beh_events", "orders", "o_orderkey", _EVENT_RECORD.format(note="'again'"), _SECOND)
     again = again.filter("Academy='A1' or (Academy='A2' and page_no>1)")
     folder = scratch_path(t.spark, "landing")
-    for pages in (first, again):
+    for pages, at in ((first, _FIRST), (again, _SECOND)):
         pages.write.mode("append").partitionBy("endpoint").parquet(folder)
         landed = t.spark.read.schema(pages.schema).parquet(folder)
-        asked = requests_of(landed.filter(F.col("fetched_at") == pages_time(pages)))
+        asked = requests_of(landed.filter(F.col("fetched_at") == F.lit(at).cast("timestamp_ntz")))
         sync_requests(warehouse, landed, asked, ["beh_events"])
-    return warehouse.read(table)
-
-
-def pages_time(pages: DataFrame):
-    """The fetch time of one landing, as a constant."""
-    return F.lit(pages.select("fetched_at").first()[0]).cast("timestamp_ntz")
+    return warehouse
 
 
 _JOB_ROWS = f"""
@@ -423,7 +433,7 @@ _JOB_ROWS = f"""
     """
 register(
     "sync_behaviour_days",
-    lambda t: _behaviour_job(t, "BehEvents").select(
+    lambda t: _behaviour_job(t).read("BehEvents").select(
         "BehEventId", "Academy", "DataSet", "BehEventTypeId", "EventDate", "EventDay", "Closed", "Cancelled",
         "SubjectCode", "SchoolNotes", "CreatedByStaffId",
     ),
@@ -436,6 +446,22 @@ register(
     """,
 )
 
+register(
+    "sync_behaviour_days__log",
+    lambda t: _behaviour_job(t).read("SyncResults").select(
+        "AcademyCode", "DataSet", "Date", "Result", "Exception", "InnerException"
+    ),
+    f"""
+    with asked as (select block, EventDay, count(*) n from ({_JOB_ROWS}) group by block, EventDay),
+    runs as (select block, EventDay, cast(null as string) problem from asked
+      union all select block, EventDay, case block%5 when 2 then 'broken page chain' end from asked
+      where block%5=1 or (block%5=2 and n>{PAGE_SIZE}))
+    select concat('A',cast(block%5 as string)) AcademyCode, '2021' DataSet, EventDay as Date,
+      problem is null as Result, problem Exception, cast(null as string) InnerException
+    from runs
+    """,
+)
+
 _LESSON_RECORD = """struct(date_format(asked, "yyyy-MM-dd'T'00:00:00'Z'") date, user_id student_id,
     event_id class_id, ascii(event_type) lesson_mark_id, {note} lesson_notes)"""
 
