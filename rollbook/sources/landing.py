@@ -114,7 +114,8 @@ def chain_status(parsed: DataFrame) -> DataFrame:
         .when((F.col("first") != 1) | (F.col("last") != 1) | (F.col("broken") > 0), "broken page chain")
     )
     return status.select(
-        "request_id", F.col("page").alias("pages"), "unreadable", F.col("broken").alias("broken_links"), reason.alias("problem")
+        "request_id", F.col("page").alias("pages"), "unreadable", F.col("broken").alias("broken_links"),
+        reason.alias("problem"),
     )
 
 
