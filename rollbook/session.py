@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+# Scratch folders of local sessions that name none, by application: the setting itself can't be changed afterwards.
+_own_roots: dict[str, str] = {}
+
 
 def local_session(cores: str | int = 8, shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
     """A single-machine session for tests and the benchmark."""
@@ -42,9 +45,10 @@ def scratch_root(spark: SparkSession) -> str:
         return shared.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="rollbook-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    application = spark.sparkContext.applicationId
+    if application not in _own_roots:
+        _own_roots[application] = tempfile.mkdtemp(prefix="rollbook-")
+    return _own_roots[application]
 
 
 def file_system(spark: SparkSession, path: str):
