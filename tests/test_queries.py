@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from standins import catalogue
 from tests.compare import differences, duck
 from tests.conftest import SF
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = catalogue.queries(), dict(catalogue.ORACLES)
 
 
 @pytest.fixture(scope="module")
