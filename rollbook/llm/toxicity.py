@@ -2,7 +2,7 @@
 
 The subwords of a text are its runs of 3 to 5 bytes within words (A-Z lowered, the ends of a word marked), hashed to
 ``BUCKETS`` vectors of ``DIM``. A misspelt word shares most of its runs, and so their vectors, with the words seen. A
-text is read in windows of ``2 * STRIDE`` bytes, half overlapping; each window's vectors are averaged, the average goes
+word that repeats itself at once counts once, else its runs alone would make up a window. A text is read in windows of ``2 * STRIDE`` bytes, half overlapping; each window's vectors are averaged, the average goes
 through the softmax, and the text's score is that of its most toxic window: one remark in a long text is not thinned
 out. Training follows the same rule: each step takes every text's worst window under the current model and moves
 embeddings and softmax together.
@@ -39,7 +39,7 @@ SAMPLE_BYTES = 20_000
 EPOCHS = 10
 STEPS = 400  # at least, so small samples are seen more often
 RATE = 0.5
-GAIN = 60  # of the embeddings: each gets only its share of a bag's gradient
+GAIN = 150  # of the embeddings: each gets only its share of a bag's gradient
 BATCH = 32
 SEED = 7
 THRESHOLD = 0.3
@@ -48,8 +48,9 @@ _PIECE = STRIDE << 14  # bytes of a text looked at together
 
 
 def _normal(text: bytes | None) -> np.ndarray:
-    """Lowered words with one space before, between and after."""
+    """Lowered words with one space before, between and after; a word that repeats itself at once counts once."""
     words = text.translate(_LOWER).split() if text else []
+    words = [w for w, before in zip(words, [b"", *words], strict=False) if w != before]
     return np.frombuffer(b" " + b" ".join(words) + b" ", np.uint8) if words else np.zeros(0, np.uint8)
 
 
