@@ -25,8 +25,8 @@ def log_rows(outcomes: DataFrame, logged_at: datetime | None = None) -> DataFram
         F.col("NCYear").alias("YearGroup"),
         F.col("Date"),
         F.col("problem").isNull().alias("Result"),
-        F.substring("problem", 1, 5000).alias("Exception"),
-        F.substring("detail", 1, 5000).alias("InnerException"),
+        F.col("problem").alias("Exception"),
+        F.col("detail").alias("InnerException"),
     )
     return project(rows, "SyncResults")
 

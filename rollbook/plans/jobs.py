@@ -11,6 +11,8 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
+from itertools import groupby
+from uuid import uuid4
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from rollbook.plans.requests import request_plan
 from rollbook.schemas.endpoints import AREAS, ENDPOINTS, Endpoint
 from rollbook.schemas.tables import TABLES
 from rollbook.session import materialize, remove, scratch_path
-from rollbook.sources.landing import chain_status, newest_fetches, parse_pages, records_of
+from rollbook.sources.landing import asked_pages, chain_status, newest_fetches, pages_of_days, parse_pages, records_of
 from rollbook.sources.warehouse import Warehouse
 
 # Areas of the three ways a sync is started.
@@ -57,7 +59,7 @@ def behaviour_sync(warehouse: Warehouse, pages: DataFrame, config: DataFrame, as
 
 def run_sync(
     warehouse: Warehouse, pages: DataFrame, config: DataFrame, as_of: date, areas: Iterable[str] = FULL,
-    dataset: str | None = None, logged_at: datetime | None = None, parallel: int = 4,
+    dataset: str | None = None, logged_at: datetime | None = None, parallel: int = 4, landed_since: date | None = None,
 ) -> DataFrame:
     """Plan the requests of ``areas``, store what they brought, log every one. Returns the new log rows.
 
@@ -66,32 +68,56 @@ def run_sync(
     areas = tuple(areas)
     plan = request_plan(config, as_of, areas, dataset)
     names = [e.name for area in areas for e in ENDPOINTS.values() if e.area == area]
-    return sync_requests(warehouse, pages, plan, names, logged_at, parallel)
+    return sync_requests(warehouse, pages, plan, names, logged_at, parallel, landed_since=landed_since)
 
 
 def sync_requests(
     warehouse: Warehouse, pages: DataFrame, plan: DataFrame, endpoints: Iterable[str],
-    logged_at: datetime | None = None, parallel: int = 4,
+    logged_at: datetime | None = None, parallel: int = 4, run: str | None = None, landed_since: date | None = None,
 ) -> DataFrame:
-    """Store the requests in ``plan``; ``parallel`` endpoints at a time."""
+    """Store the requests in ``plan``, area after area in the order given; ``parallel`` endpoints at a time.
+
+    Of the landing folder only the endpoints and data sets asked are looked at (two narrow columns, from the day
+    ``landed_since`` on if that is given), and page texts are read only from the days of the newest fetches.
+
+    The log is kept per ``run``: the same run made again replaces its log rows. An endpoint whose job breaks off
+    fails its own requests, with the error in the log; all others are stored and logged.
+    """
     # Plan and fetches hold one short row per request. Written out, their size is known when the joins with the
     # pages are planned, so the page texts are not shuffled unless there really are too many requests to broadcast.
     folder = scratch_path(warehouse.spark, "sync")
-    plan = materialize(plan, "plan", folder)
-    fetches = materialize(newest_fetches(pages, plan), "fetches", folder)
-    # Endpoints that feed the same table take turns; the others run side by side and share the cluster.
-    lanes: dict[str, list[Endpoint]] = {}
-    for name in endpoints:
-        lanes.setdefault(ENDPOINTS[name].tables[0], []).append(ENDPOINTS[name])
-    with ThreadPoolExecutor(parallel) as pool:
-        outcomes = pool.map(
-            lambda lane: [_sync_endpoint(warehouse, pages, plan, fetches, e, folder) for e in lane], lanes.values()
+    try:
+        plan = materialize(plan, "plan", folder)
+        pages = asked_pages(pages, plan, landed_since)
+        fetches = materialize(newest_fetches(pages, plan), "fetches", folder)
+        pages = pages_of_days(pages, fetches)
+        outcomes: list[DataFrame] = []
+        for _, area in groupby((ENDPOINTS[name] for name in endpoints), key=lambda e: e.area):
+            # Endpoints that feed the same table take turns; the others run side by side and share the cluster.
+            lanes: dict[str, list[Endpoint]] = {}
+            for endpoint in area:
+                lanes.setdefault(endpoint.tables[0], []).append(endpoint)
+            with ThreadPoolExecutor(parallel) as pool:
+                made = pool.map(
+                    lambda lane: [_isolated(warehouse, pages, plan, fetches, e, folder) for e in lane], lanes.values()
+                )
+                outcomes += [outcome for lane in made for outcome in lane]
+        log = log_rows(reduce(DataFrame.unionByName, outcomes), logged_at)
+        return warehouse.write_log(log, run or uuid4().hex)
+    finally:
+        remove(warehouse.spark, folder)
+
+
+def _isolated(
+    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str
+) -> DataFrame:
+    try:
+        return _sync_endpoint(warehouse, pages, plan, fetches, endpoint, folder)
+    except Exception as error:  # whatever it is, it is logged, and the other endpoints go on
+        asked = plan.filter(F.col("endpoint") == endpoint.name)
+        return asked.withColumns(
+            {"problem": F.lit("endpoint failed"), "detail": F.lit(f"{type(error).__name__}: {error}"), "skipped": F.lit(False)}
         )
-        outcomes = [outcome for lane in outcomes for outcome in lane]
-    log = materialize(log_rows(reduce(DataFrame.unionByName, outcomes), logged_at), "log")
-    warehouse.append("SyncResults", log)
-    remove(warehouse.spark, folder)
-    return log
 
 
 def _sync_endpoint(
@@ -112,8 +138,7 @@ def _sync_endpoint(
 
     found = chains.withColumns({"detail": F.lit(None).cast("string"), "rows": F.lit(None).cast("long")})
     for name, rows in tables.items():
-        for report in _reports(warehouse, endpoint, name, rows, asked):
-            found = found.unionByName(report)
+        found = found.unionByName(_report(endpoint, name, rows))
     outcome = found.groupBy("request_id").agg(
         F.min(F.when(F.col("problem").isNotNull(), F.struct("problem", "detail"))).alias("first"),
         *[F.sum(F.when(F.col("detail") == name, F.col("rows"))).alias(f"rows_{name}") for name in tables],
@@ -123,6 +148,9 @@ def _sync_endpoint(
         *[f"rows_{name}" for name in tables],
     )
     outcome = materialize(_stop_after_failed_year(outcome, endpoint), f"{endpoint.name}-outcome", folder)
+    shared = {name: rows for name, rows in tables.items() if name in _SHARED_KEYS}
+    if shared:
+        outcome = _reject_key_conflicts(warehouse, endpoint, shared, outcome, folder)
 
     stored = outcome.filter(F.col("problem").isNull() & ~F.col("skipped"))
     slices = _slices(stored, endpoint)
@@ -134,6 +162,66 @@ def _sync_endpoint(
     return outcome.drop(*[f"rows_{name}" for name in tables])
 
 
+def _reject_key_conflicts(
+    warehouse: Warehouse, endpoint: Endpoint, tables: dict[str, DataFrame], outcome: DataFrame, folder: str
+) -> DataFrame:
+    """Of the requests that are good in themselves, rejects those whose keys another slice will hold.
+
+    Only the slices of requests that are stored are replaced. A rejected request keeps its old slice, whose keys
+    then stand against the others, so the check is repeated until nothing more is rejected. Keys that stored
+    rows hold come first; only when none is left does the first of several requests with one key take it. A
+    request that was rejected for its key does not come back, even if the other is rejected later.
+    """
+    number = 0
+    while True:
+        good = outcome.filter(F.col("problem").isNull() & ~F.col("skipped"))
+        for failing in (_held_elsewhere, _sent_twice):
+            conflicts = failing(warehouse, endpoint, tables, good)
+            conflicts = materialize(conflicts, f"{endpoint.name}-conflicts-{number}-{failing.__name__}", folder)
+            if not conflicts.isEmpty():
+                break
+        else:
+            return outcome
+        number += 1
+        first = conflicts.groupBy("request_id").agg(F.min(F.struct("problem", "detail")).alias("conflict"))
+        columns = [c for c in outcome.columns if c not in ("problem", "detail", "skipped")]
+        outcome = outcome.join(first, "request_id", "left").select(
+            *columns,
+            F.coalesce("problem", "conflict.problem").alias("problem"),
+            F.when(F.col("problem").isNull(), F.col("conflict.detail")).otherwise(F.col("detail")).alias("detail"),
+        )
+        outcome = materialize(_stop_after_failed_year(outcome, endpoint), f"{endpoint.name}-outcome-{number}", folder)
+
+
+def _held_elsewhere(warehouse: Warehouse, endpoint: Endpoint, tables: dict[str, DataFrame], good: DataFrame) -> DataFrame:
+    """Requests with a key that is stored outside the slices about to be replaced."""
+    found = []
+    for name, rows in tables.items():
+        spec = TABLES[name]
+        slices = _slices(good, endpoint).select(*spec.slice).distinct()
+        stored = warehouse.read(name)
+        if name == "Grades":
+            # The key holds academy and year, so only their slices can hold it; the others' folders are not read.
+            stored = stored.join(slices.select("Academy", "DataSet").distinct(), ["Academy", "DataSet"], "left_semi")
+        elsewhere = stored.join(slices, list(spec.slice), "left_anti")
+        own = rows.join(good.select("request_id"), "request_id", "left_semi")
+        found.append(_failed(stored_key_failures(own, elsewhere, spec.key), "key held by another slice", name))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _sent_twice(warehouse: Warehouse, endpoint: Endpoint, tables: dict[str, DataFrame], good: DataFrame) -> DataFrame:
+    """Requests with a key that an earlier good request of the run brings too."""
+    found = []
+    for name, rows in tables.items():
+        own = rows.join(good.select("request_id"), "request_id", "left_semi")
+        found.append(_failed(shared_key_failures(own, TABLES[name].key), "duplicate key", name))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _failed(requests: DataFrame, problem: str, table: str) -> DataFrame:
+    return requests.select("request_id", F.lit(problem).alias("problem"), F.lit(table).alias("detail"))
+
+
 def _store(
     warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, empty: DataFrame,
     records: DataFrame, folder: str,
@@ -151,39 +239,18 @@ def _store(
     warehouse.replace_by_id(name, rows, replaced, key, sent, whole_slices, folder)
 
 
-def _reports(
-    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, asked: DataFrame
-) -> list[DataFrame]:
-    """Requests with the rows they bring for a table, and those that break one of its rules."""
-    spec = TABLES[name]
-    day = spec.slice[-1] if endpoint.scope == "day" else None
+def _report(endpoint: Endpoint, name: str, rows: DataFrame) -> DataFrame:
+    """Requests with the number of rows they bring for a table, and the rule of their own that they break."""
+    day = TABLES[name].slice[-1] if endpoint.scope == "day" else None
     problem = (
         F.when(F.col("undated"), "bad date")
         .when(F.col("long"), "text too long")
         .when(F.col("repeated"), "duplicate key")
         .when(F.col("stray"), "row of another day")
     )
-    reports = [
-        request_report(rows, name, day).select("request_id", problem.alias("problem"), F.lit(name).alias("detail"), "rows")
-    ]
-    if name in _SHARED_KEYS:
-        slices = _slices(asked, endpoint).select(*spec.slice).distinct()
-        stored = warehouse.read(name)
-        if name == "Grades":
-            # The key holds academy and year, so only their slices can hold it; the others' folders are not read.
-            stored = stored.join(slices.select("Academy", "DataSet").distinct(), ["Academy", "DataSet"], "left_semi")
-        elsewhere = stored.join(slices, list(spec.slice), "left_anti")
-        for failing, what in (
-            (shared_key_failures(rows, spec.key), "duplicate key"),
-            (stored_key_failures(rows, elsewhere, spec.key), "key held by another slice"),
-        ):
-            reports.append(
-                failing.select(
-                    "request_id", F.lit(what).alias("problem"), F.lit(name).alias("detail"),
-                    F.lit(None).cast("long").alias("rows"),
-                )
-            )
-    return reports
+    return request_report(rows, name, day).select(
+        "request_id", problem.alias("problem"), F.lit(name).alias("detail"), "rows"
+    )
 
 
 def _slices(requests: DataFrame, endpoint: Endpoint) -> DataFrame:

@@ -6,6 +6,7 @@ once; the parsed pages keep the records as a typed array, so that they can be st
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +17,43 @@ from rollbook.schemas.endpoints import PAGE_SCHEMA, Endpoint
 PAGE_COLUMNS = ("request_id", "Academy", "DataSet", "NCYear", "Date", "page_no", "cursor_in")
 
 
+# Where the landing folder is partitioned by the day of the fetch as well, a read that knows its days opens only those.
+FETCH_DAY = "fetch_day"
+LANDING_PARTITIONS = ("endpoint", FETCH_DAY)
+
+
 def read_landing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The landing folder, partitioned by endpoint, so that one endpoint's read skips all the others."""
+    """The landing folder, partitioned by endpoint and, if it is, by ``fetch_day``: reads of one skip all others."""
     return spark.read.schema(PAGE_SCHEMA).format(fmt).load(path)
 
 
+def land(pages: DataFrame, path: str) -> None:
+    """Add pages to a landing folder, partitioned by endpoint and day of the fetch."""
+    days = pages.withColumn(FETCH_DAY, F.to_date("fetched_at"))
+    days.write.mode("append").partitionBy(*LANDING_PARTITIONS).parquet(path)
+
+
+def asked_pages(pages: DataFrame, requests: DataFrame, first_day: date | None = None) -> DataFrame:
+    """``pages`` without those that no request asks for, as far as constants can tell: a scan skips their folders.
+
+    The endpoints and data sets of the requests are collected, which are few however many requests there are.
+    ``first_day`` is the earliest day on which a request of these can have been fetched, where the caller knows it.
+    """
+    sets = requests.agg(F.collect_set("endpoint").alias("endpoints"), F.min("DataSet").alias("low"), F.max("DataSet").alias("high")).first()
+    pages = pages.filter(F.col("endpoint").isin(*sets["endpoints"]) & F.col("DataSet").between(sets["low"], sets["high"]))
+    if first_day is not None and FETCH_DAY in pages.columns:
+        pages = pages.filter(F.col(FETCH_DAY) >= F.lit(first_day))
+    return pages
+
+
+def pages_of_days(pages: DataFrame, fetches: DataFrame) -> DataFrame:
+    """``pages`` of the days on which the fetches were made; their folders are named in the scan."""
+    if FETCH_DAY not in pages.columns:
+        return pages
+    days = [r[0] for r in fetches.select(F.to_date("fetched_at")).distinct().collect()]
+    return pages.filter(F.col(FETCH_DAY).isin(days))
+
+
 def newest_fetches(pages: DataFrame, requests: DataFrame) -> DataFrame:
     """For each of the requests: when it was last made. Reads two narrow columns of the landing folder."""
     asked = pages.select("request_id", "fetched_at").join(requests.select("request_id"), "request_id", "left_semi")

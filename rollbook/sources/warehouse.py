@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,7 +33,8 @@ class Warehouse:
         fs, where = file_system(self.spark, self.path(table))
         if not fs.exists(where):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self.path(table))
+        # The log's folders are its runs, which are no column of it.
+        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
@@ -62,9 +65,12 @@ class Warehouse:
             empty = slices.join(rows.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
         # One short row per slice that was asked for and came back empty: bounded by the request plan, and
         # fetched a partition at a time.
-        for row in empty.select(*spec.slice).distinct().toLocalIterator():
-            folder = "/".join([self.path(table), *[f"{c}={_escaped(str(row[c]))}" for c in spec.slice]])
-            remove(self.spark, folder)
+        folders = (
+            "/".join([self.path(table), *[f"{c}={_folder_name(row[c])}" for c in spec.slice]])
+            for row in empty.select(*spec.slice).distinct().toLocalIterator()
+        )
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda folder: remove(self.spark, folder), folders))
 
     def replace_by_id(
         self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,
@@ -93,8 +99,11 @@ class Warehouse:
         content = materialize(content, f"{table}-content", folder)
         self.replace_slices(table, content, slices.select(*on).unionByName(touched))
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        project(rows, table).write.mode("append").parquet(self.path(table))
+    def write_log(self, rows: DataFrame, run: str) -> DataFrame:
+        """The log rows of one run, in a folder of their own: a run made again replaces them. Returns them as stored."""
+        path = f"{self.path('SyncResults')}/run={run}"
+        project(rows, "SyncResults").write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(TABLES["SyncResults"].storage_schema).parquet(path)
 
 
 def grade_types(spark: SparkSession) -> DataFrame:
@@ -103,5 +112,10 @@ def grade_types(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(GradeTypeId, Name)")
 
 
+def _folder_name(value) -> str:
+    """What a slice's value is called in its folder; Spark has a name of its own for NULL."""
+    return "__HIVE_DEFAULT_PARTITION__" if value is None else _escaped(str(value))
+
+
 def _escaped(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)

@@ -6,6 +6,7 @@ a batch that is run twice stores the same rows.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -35,12 +36,18 @@ def rolling_sync(
         .option("maxFilesPerTrigger", files_per_batch)
         .parquet(landing)
         .filter(F.col("endpoint").isin(*endpoints))
-        .select("request_id", "endpoint", "Academy", "DataSet", "NCYear", "Date")
+        .select("request_id", "endpoint", "Academy", "DataSet", "NCYear", "Date", "fetched_at")
     )
+    stream = f"{zlib.crc32(checkpoint.encode()):08x}"
 
-    def store(batch: DataFrame, _: int) -> None:
+    def store(batch: DataFrame, number: int) -> None:
         seen = requests_of(batch)
-        sync_requests(warehouse, read_landing(spark, landing), seen, endpoints)
+        # The newest fetch of a request seen here is not older than what was seen: earlier days stay unread.
+        since = batch.agg(F.min(F.to_date("fetched_at"))).first()[0]
+        # A batch that is run again replaces its own log.
+        sync_requests(
+            warehouse, read_landing(spark, landing), seen, endpoints, run=f"{stream}-{number}", landed_since=since
+        )
 
     return (
         arriving.writeStream.foreachBatch(store)

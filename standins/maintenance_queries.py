@@ -14,7 +14,7 @@ from rollbook.plans.requests import plan_endpoints
 from rollbook.schemas.endpoints import ENDPOINTS
 from rollbook.schemas.tables import TABLES
 from rollbook.session import scratch_path
-from rollbook.sources.landing import chain_status, parse_pages
+from rollbook.sources.landing import chain_status, land, parse_pages, read_landing
 from rollbook.sources.warehouse import Warehouse, grade_types
 from rollbook.streaming.rolling import requests_of, rolling_sync
 from standins.catalogue import register
@@ -420,8 +420,8 @@ def _behaviour_job(t: Standins) -> Warehouse:
     again = again.filter("Academy='A1' or (Academy='A2' and page_no>1)")
     folder = scratch_path(t.spark, "landing")
     for pages, at in ((first, _FIRST), (again, _SECOND)):
-        pages.write.mode("append").partitionBy("endpoint").parquet(folder)
-        landed = t.spark.read.schema(pages.schema).parquet(folder)
+        land(pages, folder)
+        landed = read_landing(t.spark, folder)
         asked = requests_of(landed.filter(F.col("fetched_at") == F.lit(at).cast("timestamp_ntz")))
         sync_requests(warehouse, landed, asked, ["beh_events"])
     return warehouse
@@ -472,7 +472,7 @@ def _rolling_job(t: Standins) -> DataFrame:
     folder, checkpoint = scratch_path(t.spark, "landing"), scratch_path(t.spark, "stream")
     for note, at, which in (("'first'", _FIRST, "true"), ("'again'", _SECOND, "Academy='A1'")):
         pages = landing(t, "lesson_marks", "events", "event_id", _LESSON_RECORD.format(note=note), at).filter(which)
-        pages.write.mode("append").partitionBy("endpoint").parquet(folder)
+        land(pages, folder)
         rolling_sync(warehouse, folder, checkpoint, ["lesson_marks"]).awaitTermination()
     return warehouse.read("StudentLessonMarks")
 

@@ -7,7 +7,8 @@ import pytest
 from rollbook.plans import jobs, reports
 from rollbook.plans.requests import plan_endpoints
 from rollbook.schemas.endpoints import ENDPOINTS
-from rollbook.session import scratch_path
+from rollbook.session import file_system, scratch_path
+from rollbook.sources.landing import land
 from rollbook.sources.warehouse import Warehouse
 from rollbook.streaming.rolling import requests_of, rolling_sync
 from standins.pages import RECORDS, pages as standin_pages
@@ -153,6 +154,78 @@ def test_plain_keys_of_another_slice_are_refused(warehouse):
     assert stored(warehouse, "BehClassifications", "Academy") == [("A",)]
 
 
+def classifications(*ids):
+    return {"classification": [{"id": i, "name": "x"} for i in ids]}
+
+
+def test_a_failed_request_keeps_its_keys(warehouse):
+    sync(warehouse, page("beh_classifications", classifications(1), "A"))
+    log = sync(
+        warehouse, page("beh_classifications", "junk", "A"), page("beh_classifications", classifications(1, 2), "B"),
+        page("beh_classifications", classifications(3), "C"),
+    )
+    assert log == {
+        ("A", None, None): (False, "unreadable page"), ("B", None, None): (False, "key held by another slice"),
+        ("C", None, None): (True, None),
+    }
+    assert stored(warehouse, "BehClassifications", "Academy", "BehClassificationId") == [("A", 1), ("C", 3)]
+
+
+def test_a_rejected_request_brings_its_old_slice_back(warehouse):
+    sync(warehouse, *[page("beh_classifications", classifications(i), a) for i, a in ((1, "A"), (2, "B"), (3, "C"))])
+    # C takes B's key, B takes A's, and A's new page can't be read: A keeps 1, so B keeps 2, so C keeps 3.
+    log = sync(
+        warehouse, page("beh_classifications", "junk", "A"), page("beh_classifications", classifications(1), "B"),
+        page("beh_classifications", classifications(2), "C"),
+    )
+    assert [ok for ok, _ in log.values()] == [False, False, False]
+    assert stored(warehouse, "BehClassifications", "Academy", "BehClassificationId") == [("A", 1), ("B", 2), ("C", 3)]
+
+
+def test_a_request_that_fails_by_itself_holds_no_key(warehouse):
+    log = sync(
+        warehouse, page("beh_classifications", classifications(5, 5), "A"),
+        page("beh_classifications", classifications(5), "B"),
+    )
+    assert log == {("A", None, None): (False, "duplicate key"), ("B", None, None): (True, None)}
+    assert stored(warehouse, "BehClassifications", "Academy") == [("B",)]
+
+
+def test_keys_may_move_between_replaced_slices(warehouse):
+    sync(warehouse, page("beh_classifications", classifications(1), "A"), page("beh_classifications", classifications(2), "B"))
+    log = sync(warehouse, page("beh_classifications", classifications(2), "A"), page("beh_classifications", classifications(1), "B"))
+    assert all(ok for ok, _ in log.values())
+    assert stored(warehouse, "BehClassifications", "Academy", "BehClassificationId") == [("A", 2), ("B", 1)]
+
+
+def test_an_endpoint_that_breaks_off_stops_no_other(spark, warehouse, monkeypatch):
+    whole = jobs.parse_pages
+
+    def breaking(landed, endpoint):
+        if endpoint.name == "departments":
+            raise RuntimeError("x" * 6000)
+        return whole(landed, endpoint)
+
+    monkeypatch.setattr(jobs, "parse_pages", breaking)
+    used = []
+    monkeypatch.setattr(jobs, "scratch_path", lambda s, name: used.append(scratch_path(s, name)) or used[-1])
+    log = sync(warehouse, page("departments", {"departments": [{"id": 1}]}), page("subjects", subjects(1), "B"))
+    assert log == {("A", None, None): (False, "endpoint failed"), ("B", None, None): (True, None)}
+    # The whole text of the error is logged, and nothing stays staged.
+    inner = [r.InnerException for r in warehouse.read("SyncResults").filter("not Result").collect()]
+    assert inner == ["RuntimeError: " + "x" * 6000]
+    fs, where = file_system(spark, used[0])
+    assert not fs.exists(where)
+
+
+def test_a_run_made_again_replaces_its_log(spark, warehouse):
+    found = pages(spark, page("subjects", subjects(1)))
+    for _ in range(2):
+        jobs.sync_requests(warehouse, found, requests_of(found), ["subjects"], run="one")
+    jobs.sync_requests(warehouse, found, requests_of(found), ["subjects"], run="two")
+    assert warehouse.read("SyncResults").count() == 2
+
+
 def test_attribute_groups_share_a_table(warehouse):
     def types(name):
         return {"students_and_attributes": [{"id": 1, "name": name, "students_and_attribute_values": [
@@ -178,7 +251,7 @@ def test_pages_may_come_in_several_batches(spark, warehouse):
     first = page("subjects", {**subjects(1), "has_more": True, "cursor": 5})
     second = page("subjects", subjects(2), page_no=2, cursor=5)
     for part in (first, second):
-        pages(spark, part).write.mode("append").partitionBy("endpoint").parquet(folder)
+        land(pages(spark, part), folder)
         rolling_sync(warehouse, folder, checkpoint, ["subjects"]).awaitTermination()
     assert stored(warehouse, "Subjects", "SubjectId") == [("A2021-1",), ("A2021-2",)]
     log = [r.Result for r in warehouse.read("SyncResults").orderBy("LoggedAt").collect()]
