@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +23,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataFrame:
+    """A few rows from the driver as a constant inside the plan: no Python process and no file takes part."""
+    every = F.from_json(F.lit(json.dumps(list(rows))), f"array<struct<{schema}>>")
+    return spark.range(1).select(F.inline(every))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends in files that outlive executors."""
     return materialize(df, name)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array
+from rollbook.llm.common import constant_array, small_table
 
 SHINGLE = 5
 K = 64
@@ -125,8 +125,8 @@ def with_next(docs: DataFrame, doc_id: str, shingle: int, k: int, each: int = 10
     firsts = with_sketch(cut.groupBy("__bucket").agg(F.min_by("text", least).alias("__text")), "__text", "__sketch", shingle, k)
     # The buckets that hold rows, at most ``most``: each passes its first row to the one before, the first to the last.
     present = sorted(r[0] for r in cut.select("__bucket").distinct().collect())
-    pairs = [(b, present[at - 1]) for at, b in enumerate(present)]
-    before = docs.sparkSession.createDataFrame(pairs or [(-1, -1)], "__bucket int, __for int")
+    pairs = [{"__bucket": b, "__for": present[at - 1]} for at, b in enumerate(present)]
+    before = small_table(docs.sparkSession, pairs, "__bucket: int, __for: int")
     passed = firsts.join(before, "__bucket").select(F.col("__for").alias("__bucket"), "__text", "__sketch", F.lit(True).alias("__last"))
     joined = rows.join(passed, ["__bucket", "__last"], "left")
     last = F.col("__last")

@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import WORD
+from rollbook.llm.common import WORD, small_table
 
 
 @dataclass(frozen=True)
@@ -98,15 +98,21 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     stride = max(len(t.words) for t in templates)
 
     prefix, parts = set(), []
-    for number, t in enumerate(templates):
+    for t in templates:
         ranked = sorted({order[w] for w in t.words})
         need = max(1, -(-int(round(t.threshold * len(ranked) * 1000)) // 1000))
         first = ranked[: len(ranked) - need + 1]
         names = {order[w]: w for w in t.words}
         prefix |= {names[r] for r in first}
-        parts += [(number, t.label, t.phrase, list(t.words), len(ranked), need, i + 1, names[r], [names[x] for x in ranked]) for i, r in enumerate(first)]
-    known = spark.createDataFrame(
-        parts, "template int, label string, phrase boolean, sequence array<string>, t int, o int, i int, word string, ranked array<string>"
+        parts += [
+            {
+                "label": t.label, "phrase": t.phrase, "sequence": list(t.words), "t": len(ranked), "o": need, "i": i + 1,
+                "word": names[r], "ranked": [names[x] for x in ranked],
+            }
+            for i, r in enumerate(first)
+        ]
+    known = small_table(
+        spark, parts, "label: string, phrase: boolean, sequence: array<string>, t: int, o: int, i: int, word: string, ranked: array<string>"
     )
     vocabulary, prefix = list(order), sorted(prefix)  # the vocabulary is in the global order
 

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, refuse_clash, staged
+from rollbook.llm.common import constant_array, refuse_clash, small_table, staged
 
 MAX_LISTED = 1_000_000  # keys of one list: with 12 bits a key at most 1.5 MB in a plan
 BITS_PER_KEY = 12
@@ -149,7 +149,7 @@ def judge(
     universe = staged(every, "url-keys")
 
     def cascade(listed: list[str]) -> Cascade:
-        return build_cascade(spark.createDataFrame([(k,) for k in listed], "key string"), universe)
+        return build_cascade(small_table(spark, [{"key": k} for k in listed], "key: string"), universe)
 
     block = cascade([h + p for action, h, p in rules if action == "block"])
     allow = cascade([h + p for action, h, p in rules if action == "allow"])
