@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rollbook.schemas.tables import TABLES
 from standins.catalogue import register
 from standins.pages import bare_array, bare_object, ingest
-from standins.relations import RELATIONS, academy, dataset, key, stamped
+from standins.relations import RECORD_NO, RELATIONS, academy, dataset, key, stamped
 
 
 def _columns(table: str) -> str:
@@ -46,17 +46,17 @@ EXPECTED: dict[tuple[str, str], str] = {
     ("students", "Students"): _same("Students"),
     ("education_details", "EducationDetails"): _same("EducationDetails"),
     ("education_details", "StudentAttributes"): f"""
-        select {key('c_custkey', 'c_custkey', 'a')} StudentAttributeId, {key('c_custkey')} StudentId,
-          c_custkey SourceStudentId, a AttributeId, case a when 1 then 'SEG' else 'NAT' end Code,
+        select {key('c_custkey', RECORD_NO, 'a')} StudentAttributeId, {key('c_custkey', RECORD_NO)} StudentId,
+          {RECORD_NO} SourceStudentId, a AttributeId, case a when 1 then 'SEG' else 'NAT' end Code,
           case a when 1 then 'Segment' else 'Nation' end as Name, a=1 IsSystem, {stamped('c_custkey')}
-        from customer, unnest([1,2]) as r(a) where c_acctbal>=0 and c_nationkey<>9""",
+        from customer, unnest([1,2]) as r(a) where c_nationkey<>9""",
     ("education_details", "StudentAttributeValues"): f"""
-        select {key('c_custkey', 'c_custkey', 'a')} StudentAttributeId,
+        select {key('c_custkey', RECORD_NO, 'a')} StudentAttributeId,
           case a when 1 then c_mktsegment else cast(c_nationkey as string) end as Value,
           case a when 1 then '2021' end AcademicYear, case a when 1 then DATE '2021-07-01' end Date,
           {stamped('c_custkey')}
         from customer, unnest([1,2]) as r(a)
-        where c_acctbal>=0 and c_nationkey<>9 and (a=1 or c_nationkey<>8)""",
+        where c_nationkey<>9 and (a=1 or c_nationkey<>8)""",
     **{(f"{g.lower()}_attributes", "AttributeTypes"): _attribute_types(g) for g in _GROUPS},
     **{(f"{g.lower()}_attributes", "AttributeValues"): _attribute_values(g) for g in _GROUPS},
     ("departments", "Departments"): f"""

@@ -16,7 +16,7 @@ from rollbook.operators.flatten import REQUEST, flatten
 from rollbook.plans.requests import request_id
 from rollbook.schemas.endpoints import ENDPOINTS
 from rollbook.sources.landing import parse_pages, records_of
-from standins.relations import EVENT_AUTHOR, EVENT_SUBJECT, LINE_STUDENT, TYPE_CLASS, Standins
+from standins.relations import ALIAS_NO, CLASS_NO, EVENT_AUTHOR, EVENT_SUBJECT, LINE_STUDENT, MARK_NO, RECORD_NO, Standins
 
 NOT_A_DATE = "01/07/2021"
 
@@ -47,7 +47,7 @@ RECORDS: dict[str, str] = {
           case when c_acctbal<0 then null else 'Mid' end middle_names) record
         from {{customer}}""",
     "education_details": f"""
-        select c_custkey n, struct(c_custkey student_id, concat('U',cast(c_custkey as string)) upn,
+        select c_custkey n, struct({RECORD_NO} student_id, concat('U',cast(c_custkey as string)) upn,
           cast(null as string) former_upn,
           case when c_custkey%14=0 then 'Reception' else cast(c_custkey%14 as string) end national_curriculum_year,
           c_mktsegment registration_group, concat('H',cast(c_nationkey as string)) house,
@@ -62,7 +62,7 @@ RECORDS: dict[str, str] = {
               case when c_nationkey<>8 then array(struct(cast(c_nationkey as string) as value,
                 cast(null as string) as academic_year, '{NOT_A_DATE}' as date)) end as attribute_values)) end
           student_education_attributes) record
-        from {{customer}} where c_acctbal>=0""",
+        from {{customer}}""",
     "general_attributes": ATTRIBUTE_RECORD,
     "demographic_attributes": ATTRIBUTE_RECORD,
     "send_attributes": ATTRIBUTE_RECORD,
@@ -140,8 +140,8 @@ RECORDS: dict[str, str] = {
           struct(ascii(AttendanceLabel) id, Code code, AttendanceLabel label,
             AttendanceOfficerOnly attendance_officer_only, ProtectAO protect_if_entered_by_attendance_officer,
             ProtectSM protect_if_entered_by_school_manager, ProtectBM protect_if_entered_by_behaviour_manager,
-            case when AttendanceLabel<>'error' then array(struct(ascii(AttendanceLabel)*10+9 as alias_id,
-              concat(Code,'x') as alias_code, concat(AttendanceLabel,' alias') as alias_label)) end aliases) record
+            array(struct(ascii(AttendanceLabel)*10+9 as alias_id, concat(Code,'x') as alias_code,
+              concat(AttendanceLabel,' alias') as alias_label)) aliases) record
         from {AttendanceCodes}""",
     "lesson_marks": f"""
         select user_id n, cast(ts as date) Date, struct({_text_moment("ts")} date, user_id student_id,
@@ -153,7 +153,7 @@ RECORDS: dict[str, str] = {
     "session_marks": f"""
         select user_id n, cast(ts as date) Date, struct({_text_moment("ts")} date,
           case when hour(ts)<12 then 'AM' else 'PM' end session, user_id student_id, event_id class_id,
-          ascii(event_type) session_mark_id, case when value<5 then ascii(event_type)*10+9 end session_alias_id,
+          {MARK_NO} session_mark_id, case when value<5 then {ALIAS_NO} end session_alias_id,
           case when event_type='error' then cast(floor(value) as int) end session_minutes_late,
           props session_notes) record
         from {{events}}""",
@@ -174,9 +174,9 @@ RECORDS: dict[str, str] = {
         from {{Calendar}}""",
     "beh_classifications": """
         select s_suppkey n, struct(s_suppkey id, concat('Class ',s_name) name, s_nationkey-12 score) record
-        from {supplier} where s_acctbal>=0""",
+        from {supplier}""",
     "beh_event_types": f"""
-        select p_partkey n, struct(p_partkey id, {TYPE_CLASS} event_classification_id, p_brand code, p_name name,
+        select p_partkey n, struct(p_partkey id, {CLASS_NO} event_classification_id, p_brand code, p_name name,
           case when p_size<9 then p_type end alias,
           case when p_size>25 then 'Positive' else 'Negative' end significance, p_size=50 prioritise) record
         from {{part}}""",
