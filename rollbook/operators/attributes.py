@@ -30,6 +30,12 @@ def value_for_year(named: DataFrame, academic_year: str, strict: bool = False) -
     return _sole(named.filter((F.col("AcademicYear") == academic_year) & F.col("Date").isNull()), strict)
 
 
+def values_by_year(named: DataFrame) -> DataFrame:
+    """The undated values of all academic years, the year as a column: what ``value_for_year`` finds for each."""
+    undated = named.filter(F.col("AcademicYear").isNotNull() & F.col("Date").isNull())
+    return undated.groupBy(*OWNER, "AcademicYear").agg(F.max("Value").alias("Value"), F.count("*").alias("Matches"))
+
+
 def value_without_timestamp(named: DataFrame, strict: bool = False) -> DataFrame:
     """The value recorded with neither a date nor an academic year."""
     return _sole(named.filter(F.col("Date").isNull() & F.col("AcademicYear").isNull()), strict)

@@ -85,24 +85,33 @@ def length_violations(rows: DataFrame, table: str) -> DataFrame:
 def orphan_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """For every foreign key between the given tables: how many child rows have no parent.
 
-    The children are counted per key before the join, so the shuffle holds one row per key however often a key
-    occurs. A NULL key refers to nothing and is no orphan.
+    Each table is read once as a child, for all its foreign keys together, and once as a parent. The children are
+    counted per key before the join, so the shuffle holds one row per key however often a key occurs. A NULL key
+    refers to nothing and is no orphan.
     """
-    reports = []
+    edges = [(name, p) for name in tables for p in TABLES[name].parents if p.table in tables]
+    children, named = [], []
     for name, rows in tables.items():
-        for parent in TABLES[name].parents:
-            if parent.table not in tables:
-                continue
-            parent_key = TABLES[parent.table].key[0]
-            per_key = rows.filter(F.col(parent.column).isNotNull()).groupBy(F.col(parent.column).alias("__key"))
-            per_key = per_key.agg(F.count("*").alias("rows"))
-            parents = tables[parent.table].select(F.col(parent_key).alias("__key"))
-            reports.append(
-                per_key.join(parents, "__key", "left_anti")
-                .agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("orphans"))
-                .select(
-                    F.lit(name).alias("child"), F.lit(parent.column).alias("child_column"),
-                    F.lit(parent.table).alias("parent"), "orphans",
-                )
-            )
-    return reduce(DataFrame.unionByName, reports)
+        own = [
+            F.struct(F.lit(k).alias("edge"), F.lit(p.table).alias("parent"), F.col(p.column).cast("string").alias("key"))
+            for k, (child, p) in enumerate(edges)
+            if child == name
+        ]
+        if own:
+            keys = rows.select(F.inline(F.array(*own))).filter(F.col("key").isNotNull())
+            children.append(keys.groupBy("edge", "parent", "key").agg(F.count("*").alias("rows")))
+    for name in dict.fromkeys(p.table for _, p in edges):
+        key = F.col(TABLES[name].key[0]).cast("string").alias("key")
+        named.append(tables[name].select(F.lit(name).alias("parent"), key))
+    orphans = reduce(DataFrame.unionByName, children).join(reduce(DataFrame.unionByName, named), ["parent", "key"], "left_anti")
+    counts = orphans.groupBy("edge").agg(F.sum("rows").alias("orphans"))
+    every = F.array(
+        *[
+            F.struct(F.lit(k).alias("edge"), F.lit(c).alias("child"), F.lit(p.column).alias("child_column"), F.lit(p.table).alias("parent"))
+            for k, (c, p) in enumerate(edges)
+        ]
+    )
+    listed = next(iter(tables.values())).sparkSession.range(1).select(F.inline(every))
+    return listed.join(counts, "edge", "left").select(
+        "child", "child_column", "parent", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans")
+    )

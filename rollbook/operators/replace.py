@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.schemas.tables import TABLES, children_of
+from rollbook.session import materialize
 
 
 def replace_slices(existing: DataFrame, incoming: DataFrame, slices: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -31,16 +32,15 @@ def replace_events(
     of the day. A stored event whose id was sent goes wherever it is stored; ``sent_ids`` names the ids when some
     sent events are not stored (those without a student list). The students of removed events go with them.
     """
-    sent = (new_events if sent_ids is None else sent_ids).select("BehEventId").distinct()
+    sent = (new_events if sent_ids is None else sent_ids).select("BehEventId")
     stamp = F.col("EventDate") if by == "exact" else F.to_date("EventDate")
     asked = days.select(
         "Academy", "DataSet", (F.col("Date").cast("timestamp_ntz") if by == "exact" else F.col("Date")).alias("__at")
     ).distinct()
-    outside = events.withColumn("__at", stamp).join(asked, ["Academy", "DataSet", "__at"], "left_anti").drop("__at")
-    kept = outside.join(sent, "BehEventId", "left_anti")
-    kept = kept.select(*events.columns)
-    removed = events.select("BehEventId").join(kept.select("BehEventId").distinct(), "BehEventId", "left_anti")
-    removed = removed.unionByName(sent).distinct()
+    of_days = events.select("BehEventId", "Academy", "DataSet", stamp.alias("__at"))
+    of_days = of_days.join(asked, ["Academy", "DataSet", "__at"], "left_semi").select("BehEventId")
+    removed = of_days.unionByName(sent).distinct()
+    kept = events.join(removed, "BehEventId", "left_anti").select(*events.columns)
     kept_involved = involved.join(removed, "BehEventId", "left_anti").select(*involved.columns)
     return (
         kept.unionByName(new_events.select(*events.columns)),
@@ -71,7 +71,8 @@ def cascade_delete(tables: Mapping[str, DataFrame], root: str, deleted: DataFram
     """Delete the ``root`` rows whose key is in ``deleted``, and all rows that hang on them, at any depth.
 
     Returns the surviving rows of every table given. The foreign keys are walked parents first, so a table with
-    several parents loses a row when any of them loses its own. Each step removes by key with an anti join.
+    several parents loses a row when any of them loses its own. Each step removes by key with an anti join. The keys
+    that go from a table are written out once, so the tables below it don't work them out again.
     """
     survivors = dict(tables)
     gone: dict[str, DataFrame] = {root: deleted.distinct()}
@@ -94,6 +95,8 @@ def cascade_delete(tables: Mapping[str, DataFrame], root: str, deleted: DataFram
             for more in lost[1:]:
                 all_lost = all_lost.unionByName(more)
             gone[name] = all_lost.distinct()
+            if any(child.name in tables for child, _ in children_of(name)):
+                gone[name] = materialize(gone[name], f"gone-{name}")
     return survivors
 
 

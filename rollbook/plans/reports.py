@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.functions.columns import converted_text, grade_text, same_year
+from rollbook.operators import attributes
 from rollbook.operators.attributes import CONTEXT_COLUMNS, PivotColumn, attach_pivot, pivot_attributes
 from rollbook.operators.joins import expand, look_up
 
@@ -104,14 +105,18 @@ def student_context(t: Tables, columns: Sequence[PivotColumn] = CONTEXT_COLUMNS)
 
 def subject_grades(
     t: Tables, years: Sequence[str] = UPPER_YEARS, dataset: int = REPORT_YEAR, same_academy: bool = False,
-    prefer_alias: bool = False,
+    prefer_alias: bool = False, same_slice: bool = False,
 ) -> DataFrame:
     """Distinct grades per subject of the students in the given year groups.
 
+    ``same_slice`` (in all three reports) relies on what holds for tables that the sync job stored: a student's
+    grades, sheets and subjects are stored under the student's academic year. Only that year's folders are then read.
+
     Grade names are matched by type, data set and year but not by academy, as shipped, so a grade shows under
     every academy's name for it; ``same_academy`` matches the academy too. Equal names are merged before the
     join, and the result is distinct.
     """
+    t = _of_year(t, dataset, same_slice)
     students = _enrolled(t, years, dataset)
     grades = t["Grades"].select(
         "StudentId", "GradeTypeId", "SubjectId", F.col("DataSet").alias("GradeDataSet"),
@@ -135,9 +140,10 @@ def subject_grades(
 
 def forecast_grades(
     t: Tables, years: Sequence[str] = PRIMARY_YEARS, dataset: int = REPORT_YEAR, suffix: str = FORECAST_SUFFIX,
-    prefer_alias: bool = False,
+    prefer_alias: bool = False, same_slice: bool = False,
 ) -> DataFrame:
     """Marksheet grades of the sheets whose name ends in the suffix."""
+    t = _of_year(t, dataset, same_slice)
     sheets = t["Marksheets"].filter(F.col("Name").endswith(suffix)).select("MarksheetId", "SubjectId")
     sheets = sheets.join(_named_subjects(t), "SubjectId").select("MarksheetId", "SubjectName")
     grades = t["MarksheetGrades"].select(
@@ -152,9 +158,11 @@ def forecast_grades(
 
 
 def markslot_marks(
-    t: Tables, years: Sequence[str] = PRIMARY_YEARS, dataset: int = REPORT_YEAR, sheets: Sequence[str] = TEST_SHEETS
+    t: Tables, years: Sequence[str] = PRIMARY_YEARS, dataset: int = REPORT_YEAR, sheets: Sequence[str] = TEST_SHEETS,
+    same_slice: bool = False,
 ) -> DataFrame:
     """Marks in every slot of the chosen marksheets."""
+    t = _of_year(t, dataset, same_slice)
     chosen = t["Marksheets"].filter(F.col("Name").isin(*sheets))
     chosen = chosen.select("MarksheetId", "SubjectId", F.col("Name").alias("MarksheetName"))
     chosen = chosen.join(_named_subjects(t), "SubjectId").select("MarksheetId", "MarksheetName")
@@ -173,9 +181,22 @@ def markslot_marks(
 
 
 def register_views(t: Tables) -> None:
-    """The two shipped views by name, for users who write SQL."""
+    """The two shipped views by name, for users who write SQL, and the four attribute look-ups as relations to join:
+    one row per owner (StudentId, Academy, DataSet, AttributeName), and per academic year where the look-up takes one."""
     session_attendance(t).createOrReplaceTempView("v_SessionAttendance")
     behaviour(t).createOrReplaceTempView("v_Behaviour")
+    for name, found in attribute_look_ups(t).items():
+        found.createOrReplaceTempView(name)
+
+
+def attribute_look_ups(t: Tables) -> dict[str, DataFrame]:
+    named = attributes.named_values(t["AttributeTypes"], t["AttributeValues"])
+    return {
+        "v_AttributeValueLatest": attributes.latest_value(named),
+        "v_AttributeValueEarliest": attributes.earliest_value(named),
+        "v_AttributeValueAcademicYear": attributes.values_by_year(named),
+        "v_AttributeValueNoTimeStamp": attributes.value_without_timestamp(named),
+    }
 
 
 def _student_details(t: Tables) -> DataFrame:
@@ -186,6 +207,20 @@ def _student_details(t: Tables) -> DataFrame:
     })
 
 
+def _of_year(t: Tables, dataset: int, same_slice: bool) -> Tables:
+    """With ``same_slice`` all tables that name an academic year, cut to that year: a filter on their folders."""
+    if not same_slice:
+        return t
+    return {
+        name: t[name].filter(same_year("DataSet", dataset)) if "DataSet" in t[name].columns else t[name]
+        for name in (
+            "Students", "EducationDetails", "Grades", "GradeTypes", "GradeNames", "Subjects", "Marksheets", "Markslots",
+            "MarksheetGrades", "MarkslotMarks",
+        )
+        if name in t
+    }
+
+
 def _enrolled(t: Tables, years: Sequence[str], dataset: int) -> DataFrame:
     """Students of one year in the given year groups. Asking for the year group needs the education record, so
     the join is inner; both filters reach the scans. Year groups are text because of Reception."""

@@ -1,6 +1,7 @@
 """Attribute look-ups for every student and every attribute name."""
 
 from rollbook.operators import attributes as a
+from rollbook.plans.reports import attribute_look_ups
 from standins.catalogue import register
 
 _NAMED = """
@@ -48,6 +49,47 @@ register(
     f"select * from ({_sole(_FOR_YEAR)}) where Matches>1",
 )
 
+register(
+    "attr_values_by_year",
+    lambda t: a.values_by_year(_named(t)),
+    f"select {_OWNER}, AcademicYear, max(Value) as Value, count(*) Matches from ({_NAMED}) "
+    f"where AcademicYear is not null and Date is null group by {_OWNER}, AcademicYear",
+)
+
+
+def _views(t):
+    """The look-ups joined in SQL, as a user of the views writes it."""
+    for name, found in attribute_look_ups(t).items():
+        found.createOrReplaceTempView(name)
+    t["Students"].createOrReplaceTempView("students_of_views")
+    return t.spark.sql("""
+        select s.StudentId, n.AttributeName, n.Value latest, e.Value earliest, y.Value of_2021, u.Value undated
+        from students_of_views s
+        join v_AttributeValueLatest n on n.StudentId=s.StudentId
+        left join v_AttributeValueEarliest e on e.StudentId=s.StudentId and e.AttributeName=n.AttributeName
+          and e.Academy=n.Academy and e.DataSet=n.DataSet
+        left join v_AttributeValueAcademicYear y on y.StudentId=s.StudentId and y.AttributeName=n.AttributeName
+          and y.Academy=n.Academy and y.DataSet=n.DataSet and y.AcademicYear='2021'
+        left join v_AttributeValueNoTimeStamp u on u.StudentId=s.StudentId and u.AttributeName=n.AttributeName
+          and u.Academy=n.Academy and u.DataSet=n.DataSet
+        """)
+
+
+register(
+    "attr_look_up_views",
+    _views,
+    f"""
+    with named as (select *, (coalesce(Date,DATE '0001-01-01'), coalesce(AcademicYear,''), coalesce(Value,'')) place,
+        coalesce(Value,chr(0)) shown
+      from ({_NAMED}) where StudentId in (select StudentId from {{Students}}))
+    select StudentId, AttributeName, nullif(arg_max(shown,place),chr(0)) latest,
+      nullif(arg_min(shown,place),chr(0)) earliest,
+      max(Value) filter (where AcademicYear='2021' and Date is null) of_2021,
+      max(Value) filter (where AcademicYear is null and Date is null) undated
+    from named group by StudentId, Academy, DataSet, AttributeName
+    """,
+)
+
 _SHOWN = ("FSM", "Ethnicity")
 _LATEST = _first("Date desc nulls last, AcademicYear desc nulls last, Value desc nulls last")
 register(

@@ -338,6 +338,12 @@ def test_full_sync_of_every_endpoint(spark, warehouse, standins):
     for report in (reports.session_attendance, reports.behaviour, reports.student_context, reports.subject_grades,
                    reports.forecast_grades, reports.markslot_marks):
         assert report(stored_tables).columns
+    # Stored tables keep a student's rows in the student's year: every fact is read from that year's folders only.
+    for report in (reports.subject_grades, reports.forecast_grades, reports.markslot_marks):
+        scans = [part for part in planned(report(stored_tables, same_slice=True)).split("(unknown)") if "Batched" in part]
+        filters = [line for line in "".join(scans).splitlines() if "PartitionFilters" in line]
+        assert len(filters) >= 4 and all("DataSet" in line for line in filters)
+        assert report(stored_tables, same_slice=True).exceptAll(report(stored_tables)).isEmpty()
     events = warehouse.read("BehEvents").count()
     assert reports.behaviour(stored_tables).select("BehEventId").distinct().count() == events
     reports.register_views(stored_tables)
@@ -348,6 +354,10 @@ def test_full_sync_of_every_endpoint(spark, warehouse, standins):
     assert "ReusedExchange" in plan  # the events are shuffled once, for those with students and those without
 
 
+def planned(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def executed(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
