@@ -492,3 +492,70 @@ register(
     from e
     """,
 )
+
+# Requests of 40 parts each bring classifications with globally unique numbers, first all well, then: of five requests
+# in a row the first has lost its first page, the second also brings the first one's numbers, the third brings each
+# number twice, the fourth new numbers, and the fifth the fourth one's.
+_CLASS_BLOCK = 40
+_CLASSES = f"(select *, cast(floor(p_partkey/{_CLASS_BLOCK}) as int) block from {{part}})"
+_NEW = 1_000_000
+_SECOND_CLASSES = f"""
+    select block, p_partkey id from {_CLASSES} where block%5 in (0,1,2)
+    union all select block, p_partkey from {_CLASSES} where block%5=2
+    union all select block+1, p_partkey from {_CLASSES}
+      where block%5=0 and block<(select max(block) from {_CLASSES})
+    union all select block, p_partkey+{_NEW} from {_CLASSES} where block%5=3
+    union all select block, p_partkey+{_NEW}-{_CLASS_BLOCK} from {_CLASSES} where block%5=4
+    """
+
+
+def _class_pages(t: Standins, rows: str, note: str, at: str, lost: str) -> DataFrame:
+    endpoint = ENDPOINTS["beh_classifications"]
+    requests = t.sql(rows).groupBy("block").agg(
+        F.collect_list(F.struct("id", F.lit(note).alias("name"), F.lit(1).alias("score"))).alias("records")
+    )
+    academy_code = F.concat(F.lit("B"), F.lpad(F.col("block").cast("string"), 9, "0"))
+    return requests.select(
+        F.concat(F.lit("beh_classifications|"), academy_code).alias("request_id"), academy_code.alias("Academy"),
+        F.lit("2021").alias("DataSet"), F.lit(None).cast("int").alias("NCYear"), F.lit(None).cast("date").alias("Date"),
+        F.lit(at).cast("timestamp_ntz").alias("fetched_at"), F.when(F.expr(lost), 2).otherwise(1).alias("page_no"),
+        F.lit(None).cast("long").alias("cursor_in"),
+        F.to_json(F.struct(F.col("records").alias(endpoint.key), F.lit(False).alias("has_more"))).alias("body"),
+        F.lit("beh_classifications").alias("endpoint"),
+    )
+
+
+def _key_conflicts_job(t: Standins) -> Warehouse:
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    folder = scratch_path(t.spark, "landing")
+    runs = ((f"select block, p_partkey id from {_CLASSES}", "first", _FIRST, "false"), (_SECOND_CLASSES, "again", _SECOND, "block%5=0"))
+    for rows, note, at, lost in runs:
+        land(_class_pages(t, rows, note, at, lost), folder)
+        landed = read_landing(t.spark, folder)
+        sync_requests(warehouse, landed, requests_of(landed), ["beh_classifications"])
+    return warehouse
+
+
+_STORED_CLASSES = _CLASSES.replace("{part}", "part")
+register(
+    "sync_key_conflicts",
+    lambda t: _key_conflicts_job(t).read("BehClassifications").select("BehClassificationId", "Academy", "DataSet", "Name", "Score"),
+    f"""
+    select case when block%5=3 then p_partkey+{_NEW} else p_partkey end BehClassificationId,
+      concat('B',lpad(cast(block as string),9,'0')) Academy, '2021' DataSet,
+      case when block%5=3 then 'again' else 'first' end as Name, cast(1 as int) Score
+    from {_STORED_CLASSES}
+    """,
+)
+register(
+    "sync_key_conflicts__log",
+    lambda t: _key_conflicts_job(t).read("SyncResults").select("AcademyCode", "Result", "Exception", "InnerException"),
+    f"""
+    select concat('B',lpad(cast(block as string),9,'0')) AcademyCode, problem is null as Result, problem Exception,
+      case when block%5 in (1,2,4) and run=2 then 'BehClassifications' end InnerException
+    from (select *, case when run=2 then
+        case block%5 when 0 then 'broken page chain' when 1 then 'key held by another slice'
+          when 2 then 'duplicate key' when 4 then 'duplicate key' end end problem
+      from (select distinct block from {_STORED_CLASSES}) cross join (values (1),(2)) as r(run))
+    """,
+)
