@@ -39,12 +39,10 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(WORD_BYTES).split() if text else []
 
 
-def refuse_clash(df: DataFrame, *added: str) -> None:
-    """Raises where a column to be added exists already, whatever its case."""
-    have = {c.lower() for c in df.columns}
-    clash = [c for c in added if c.lower() in have]
-    if clash:
-        raise ValueError(f"columns exist already: {', '.join(clash)}; rename them or choose other output names")
+def free_of(df: DataFrame, *added: str) -> DataFrame:
+    """``df`` without columns, in whatever case, named like one to be added: the new one takes its place."""
+    names = {c.lower() for c in added}
+    return df.drop(*[df[f"`{c}`"] for c in df.columns if c.lower() in names])
 
 
 def numbered(df: DataFrame, group: Sequence[str], key: str, out: str, slices: int) -> DataFrame:

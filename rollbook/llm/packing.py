@@ -9,7 +9,7 @@ allows at the bucket's length.
 
 Defined cases: null and empty texts have length 0. A row longer than the budget is a batch of its own, whole. Repeated
 rows are packed each. Of several best boundaries the first in order is taken. Empty tables give empty results. Other
-columns are kept; a clash with an output name raises ``ValueError``.
+columns are kept; one with the name of an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, numbered, refuse_clash, slices_for, staged
+from rollbook.llm.common import constant_array, numbered, free_of, slices_for, staged
 
 FINE = 128
 BUCKETS = 16
@@ -71,7 +71,7 @@ def packed(
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``bucket`` (0 is the shortest), ``bucket_tokens`` (padded length), ``batch``
     (number within the bucket), ``batch_row`` and ``padding``. ``length`` counts tokens in a way of its own."""
-    refuse_clash(docs, "n_tokens", "bucket", "bucket_tokens", "batch", "batch_row", "padding", "__cell", "__number")
+    docs = free_of(docs, "n_tokens", "bucket", "bucket_tokens", "batch", "batch_row", "padding", "__cell", "__number")
     measured = docs.withColumn("n_tokens", token_count(F.col(text)) if length is None else length.cast("bigint"))
     measured = staged(measured.withColumn("__cell", cell_of(F.col("n_tokens"))), "measured")
     cells = (

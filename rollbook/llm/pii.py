@@ -18,7 +18,7 @@ Everything runs in built-in columns functions. The patterns start only where a m
 the length of a text, and use possessive groups, so that no length of text exhausts the stack.
 
 Defined cases: null and empty texts have no span. Repeated rows get a result each. Empty tables give empty results and
-the prior model. Other columns are kept; a clash with an output name raises ``ValueError``. Places count code points.
+the prior model. Other columns are kept; one with the name of an output is replaced by it. Places count code points.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import refuse_clash
+from rollbook.llm.common import free_of
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret")
@@ -239,7 +239,7 @@ def masked(text: Column, spans: Column) -> Column:
 
 def detect(docs: DataFrame, text: str = "text", out: str = "spans", model: Model | None = None) -> DataFrame:
     """``docs`` with an array of spans (kind, start, end, value, base, probability); fits on ``docs`` without a model."""
-    refuse_clash(docs, out, "__candidates")
+    docs = free_of(docs, out, "__candidates")
     found = with_candidates(docs, text, "__candidates")
     if model is None:
         model = fit(vote_counts(with_candidates(docs.select(text), text, "__candidates"), "__candidates"))

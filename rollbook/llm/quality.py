@@ -12,8 +12,8 @@ projection. All documents are scored, over their whole texts.
 
 Defined cases: null and empty texts have one shared vector (of the shape traits) and get a score like any other. Without any
 labelled document every score is 0.5; with one label only, that label. Repeated rows get the same score. Empty tables
-give empty results. Ties among neighbours go to the earlier in the sample's fixed order. Other columns are kept; a
-clash with an output name raises ``ValueError``.
+give empty results. Ties among neighbours go to the earlier in the sample's fixed order. Other columns are kept; one
+with the name of an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.common import refuse_clash
+from rollbook.llm.common import free_of
 
 HASHED = 2048  # terms of hashed byte trigrams
 TRAITS = 6
@@ -147,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str, doc_i
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with a score from 0 to 1 of every whole text."""
-    refuse_clash(docs, out)
+    docs = free_of(docs, out)
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     at = docs.columns.index(text)

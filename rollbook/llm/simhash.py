@@ -14,7 +14,7 @@ rounds over that forest, each a written table.
 
 Defined cases: null and empty texts, and texts without words, have fingerprint 0 and link like any other. A null id is
 never a component's smallest unless all its ids are null. Repeated rows are kept, each with the result. Empty tables
-give empty results. Other columns are kept; a clash with an output name raises ``ValueError``.
+give empty results. Other columns are kept; one with the name of an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.common import refuse_clash, staged
+from rollbook.llm.common import free_of, staged
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -62,7 +62,7 @@ def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
 
 def with_fingerprint(docs: DataFrame, text: str = "text", out: str = "code", shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with the fingerprint as a signed 64-bit number."""
-    refuse_clash(docs, out)
+    docs = free_of(docs, out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.LongType())])
     at = docs.columns.index(text)
 
@@ -286,7 +286,7 @@ def near_duplicates(
     ``keep=False`` returns the id instead of all columns of ``docs``, whose texts are then staged nowhere.
     """
     if keep:
-        refuse_clash(docs, "code", "fingerprint", "group_code", "component_id")
+        docs = free_of(docs, "code", "fingerprint", "group_code", "component_id")
         coded = staged(with_fingerprint(docs, text, "code", shingle), "coded")
     else:
         own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))

@@ -14,7 +14,7 @@ their whole texts.
 
 Defined cases: null and empty texts, and texts without a word, have no subword and get the score of the bias alone.
 Without labelled documents every score is 0.5. Repeated rows get the same score. Empty tables give empty results.
-Other columns are kept; a clash with an output name raises ``ValueError``.
+Other columns are kept; one with the name of an output is replaced by it.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.common import refuse_clash
+from rollbook.llm.common import free_of
 
 SIZES = (3, 4, 5)
 BUCKETS = 1 << 16
@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str, doc_i
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the probability that a text is toxic."""
-    refuse_clash(docs, out)
+    docs = free_of(docs, out)
     held = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
     at = docs.columns.index(text)

@@ -11,8 +11,8 @@ works on the distinct keys of the corpus, of which only those in doubt are carri
 so the size of its levels; a longer list is refused, never cut.
 
 Defined cases: a null url, or one without ``://``, has an empty host and an empty path and fits no rule. An empty host
-fits none either. Repeated rows get one result each. Empty tables give empty results. Other columns are kept; a clash
-with an output name raises ``ValueError``. Of two rules of equal length that fit, the blocking one wins.
+fits none either. Repeated rows get one result each. Empty tables give empty results. Other columns are kept; one with
+the name of an output is replaced by it. Of two rules of equal length that fit, the blocking one wins.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, refuse_clash, small_table, staged
+from rollbook.llm.common import constant_array, free_of, small_table, staged
 
 MAX_LISTED = 1_000_000  # keys of one list: with 12 bits a key at most 1.5 MB in a plan
 BITS_PER_KEY = 12
@@ -134,7 +134,7 @@ def judge(
     ``rules`` are (action, host, path); a rule fits its host and all subdomains if the path starts with the rule's.
     ``hosts`` and their subdomains are blocked where no rule fits; everything else is allowed.
     """
-    refuse_clash(pages, "host", "path", "rule", "verdict", "__url", "__keys", "__host_keys")
+    pages = free_of(pages, "host", "path", "rule", "verdict", "__url", "__keys", "__host_keys")
     spark = pages.sparkSession
     host, path = host_and_path(F.col("__url"))
     keyed = pages.withColumn("__url", F.col(url)).withColumns({"host": F.coalesce(host, F.lit("")), "path": F.coalesce(path, F.lit(""))})
