@@ -44,8 +44,8 @@ def _phrase(text: str, label: str) -> Template:
     return Template(label, tuple(text.split()), 1.0, True)
 
 
-def _notice(text: str, label: str) -> Template:
-    return Template(label, tuple(text.split()))
+def _notice(text: str, label: str, threshold: float = 0.8) -> Template:
+    return Template(label, tuple(text.split()), threshold)
 
 
 # Phrases and their labels.
@@ -54,13 +54,14 @@ PHRASES = (
     _phrase("general public license", "gpl"),
     _phrase("all rights reserved", "reserved"),
 )
-# Usual short notices and the opening words of usual license texts.
+# Usual short notices and the opening words of usual license texts. Kinds of one license that differ in a single word
+# must have nearly all words.
 NOTICES = (
     _notice("licensed under the apache license version 2 0", "apache"),
     _notice("you may not use this file except in compliance with the license", "apache"),
     _notice("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
-    _notice("licensed under cc by nc 4 0", "cc-by-nc"),
-    _notice("licensed under cc by sa 4 0", "cc-by-sa"),
+    _notice("licensed under cc by nc 4 0", "cc-by-nc", 0.9),
+    _notice("licensed under cc by sa 4 0", "cc-by-sa", 0.9),
     _notice("this work is dedicated to the public domain under cc0", "cc0"),
     _notice("this work is licensed under the gnu general public license version 3", "gpl"),
     _notice("gnu lesser general public license", "lgpl"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm import decontaminate, fingerprints, licenses, packing, pii, quality, sharding, simhash, toxicity, urls
 from rollbook.llm.common import table
+from rollbook.llm.oracles import ORACLES  # noqa: F401
 
 
 def _remainder(id: str, n: int):
@@ -104,5 +105,3 @@ QUERIES = {
         op10_bottom_k,
     )
 }
-
-ORACLES: dict[str, str] = {}

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from rollbook.llm import fingerprints, licenses, queries, urls
+from tests.compare import differences, duck
 from tests.conftest import SF
 from tests.llm import brute
 
@@ -129,3 +130,8 @@ def test_packing(spark, tables):
 @pytest.mark.parametrize("name", list(Q))
 def test_empty_tables(spark, empty_dir, name):
     assert Q[name](spark, empty_dir).collect() == []
+
+
+@pytest.mark.parametrize("name", list(queries.ORACLES))
+def test_sql_says_the_same(spark, name):
+    assert differences(Q[name](spark, SF), duck(SF), queries.ORACLES[name]) is None
