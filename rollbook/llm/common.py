@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollbook.session import materialize
+from rollbook.session import remove, scratch_path
 
 # Digits, letters and everything beyond ASCII make up a word (after lower-casing A-Z).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -31,7 +31,18 @@ def small_table(spark: SparkSession, rows: Sequence[dict], schema: str) -> DataF
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: its lineage ends in files that outlive executors."""
-    return materialize(df, name)
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the files of staged frames that nothing reads any more; others are left alone."""
+    for df in frames:
+        if path := df.__dict__.get("staged_at"):
+            remove(df.sparkSession, path.rsplit("/", 1)[0])
 
 
 def words_of(text: bytes | None) -> list[bytes]:

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, numbered, free_of, slices_for, staged
+from rollbook.llm.common import constant_array, free_of, numbered, slices_for, staged
 
 FINE = 128
 BUCKETS = 16

@@ -14,7 +14,7 @@ posteriors train the final span classifier, a naive Bayes model over kind, votes
 at most ``len(KINDS) * 3 ** 4 * 3 ** 2`` rows, however large the corpus. Spans that the classifier accepts are added;
 those that pass the strict rules of the base kinds stay in any case.
 
-Everything runs in built-in columns functions. The patterns start only where a match can start, so they are linear in
+Everything runs in built-in column functions. The patterns start only where a match can start, so they are linear in
 the length of a text, and use possessive groups, so that no length of text exhausts the stack.
 
 Defined cases: null and empty texts have no span. Repeated rows get a result each. Empty tables give empty results and

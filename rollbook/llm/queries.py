@@ -43,8 +43,7 @@ def op4_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_gray_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), keep=False)
-    return found.select("doc_id", "fingerprint", "component_id")
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 def op6_neighbour_votes(spark: SparkSession, sf_dir: str) -> DataFrame:

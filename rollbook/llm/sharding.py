@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, numbered, slices_for, staged
+from rollbook.llm.common import constant_array, discard, numbered, slices_for, staged
 
 SHARDS = 24
 ROUNDS = 6
@@ -93,6 +93,7 @@ def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: in
         flows = granted.groupBy("shard", "wish").agg(F.count("*").alias("n")).collect()  # shards squared at most
         moved = sum(f["n"] for f in flows)
         if not moved:
+            discard(wishes, granted)
             return state.select("row", "shard")
         change = [sum(f["n"] for f in flows if f["wish"] == s) - sum(f["n"] for f in flows if f["shard"] == s) for s in range(shards)]
         over = [max(0, c) for c in change]  # so many free rows leave a shard,
@@ -102,7 +103,9 @@ def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: in
         leaving = free.where(F.col("at") < F.element_at(constant_array(over), F.col("shard") + 1))
         place = F.element_at(constant_array(ahead), F.col("shard") + 1) + F.col("at")
         moves = granted.select("row", "wish").union(leaving.select("row", _range_of(place, under).alias("wish")))
+        before = state
         state = staged(state.join(moves, "row", "left").select("row", "linked", F.coalesce("wish", "shard").alias("shard")), f"state{number}")
+        discard(wishes, granted, before)
         if moved < SETTLED * sum(size):
             break
     return state.select("row", "shard")

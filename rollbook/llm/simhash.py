@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rollbook.llm.common import free_of, staged
+from rollbook.llm.common import discard, free_of, staged
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -226,6 +226,7 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, leaf:
     levels = _levels(blocks, fan)
     root = levels[-1]
     pairs = root.select(F.col("node").alias("x"), F.col("node").alias("y"))
+    done = [blocks, *levels]
     for depth, level in enumerate(reversed(levels[:-1])):
         a, b = level.alias("a"), level.alias("b")
         pairs = (
@@ -235,6 +236,7 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, leaf:
             .select(F.col("a.node").alias("x"), F.col("b.node").alias("y"))
         )
         pairs = staged(pairs, f"pairs{depth}")
+        done.append(pairs)
     held = blocks.select("node", "codes")
     both = pairs.join(held.withColumnsRenamed({"node": "x", "codes": "cx"}), "x").join(
         held.withColumnsRenamed({"node": "y", "codes": "cy"}), "y"
@@ -247,7 +249,9 @@ def links(codes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK, leaf:
                 if found.shape[1]:
                     yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in found], names=["a", "b"])
 
-    return staged(both.select("cx", "cy").repartition(F.xxhash64("cx", "cy")).mapInArrow(run, "a bigint, b bigint"), "links")
+    found = staged(both.select("cx", "cy").repartition(F.xxhash64("cx", "cy")).mapInArrow(run, "a bigint, b bigint"), "links")
+    discard(*done)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -271,33 +275,47 @@ def components(edges: DataFrame) -> DataFrame:
     mark, number = None, 0
     while True:
         number += 1
-        edges = staged(star(star(edges, True), False), f"edges{number}")
+        before, edges = edges, staged(star(star(edges, True), False), f"edges{number}")
+        discard(before)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         mark = now
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, shingle: int = SHINGLE, keep: bool = True
-) -> DataFrame:
-    """``docs`` with ``fingerprint`` (16 hex digits), ``group_code`` (one of the component) and ``component_id``.
-
-    ``keep=False`` returns the id instead of all columns of ``docs``, whose texts are then staged nowhere.
-    """
-    if keep:
-        docs = free_of(docs, "code", "fingerprint", "group_code", "component_id")
-        coded = staged(with_fingerprint(docs, text, "code", shingle), "coded")
-    else:
-        own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-        coded = staged(with_fingerprint(own, "text", "code", shingle).select("id", "code"), "codes")
-    id = doc_id if keep else "id"
-    # Copies share a code: from here on distinct codes only, each with its smallest id.
-    codes = staged(coded.groupBy("code").agg(F.min(id).alias("least")), "distinct")
+def _groups(coded: DataFrame, max_bits: int) -> DataFrame:
+    """(code, least, group_code): each distinct code with its smallest id and its component, from (id, code)."""
+    # Copies share a code: from here on distinct codes only.
+    codes = staged(coded.groupBy("code").agg(F.min("id").alias("least")), "distinct")
     roots = components(links(codes.select("code"), max_bits))
-    placed = codes.join(roots, F.col("node") == F.col("code"), "left").select("code", "least", F.coalesce("root", "code").alias("group_code"))
+    return codes.join(roots, F.col("node") == F.col("code"), "left").select("code", "least", F.coalesce("root", "code").alias("group_code"))
+
+
+def _coded(docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    own = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    return staged(with_fingerprint(own, "text", "code", shingle).select("id", "code"), "codes")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
+    """One row per document: its id, ``fingerprint`` (16 hex digits) and ``component_id``. Texts are read once."""
+    coded = _coded(docs, doc_id, text, shingle)
+    placed = _groups(coded, max_bits)
     smallest = placed.groupBy("group_code").agg(F.min("least").alias("component_id"))
     named = placed.select("code", "group_code").join(smallest, "group_code")
-    out = coded.join(named, "code").withColumn("fingerprint", F.lower(F.lpad(F.hex("code"), 16, "0")))
-    names = docs.columns if keep else [F.col("id").alias(doc_id)]
-    return out.select(*names, "fingerprint", "group_code", "component_id")
+    fingerprint = F.lower(F.lpad(F.hex("code"), 16, "0")).alias("fingerprint")
+    return coded.join(named, "code").select(F.col("id").alias(doc_id), fingerprint, "component_id")
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_bits: int = MAX_BITS, shingle: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each component: that of smallest id (of a repeated id, that of smallest fingerprint).
+
+    Fingerprints are worked out a second time rather than written beside the texts, and rows meet their
+    component's choice by fingerprint and id together: texts are shuffled once, and copies are spread by their ids.
+    """
+    placed = _groups(_coded(docs, doc_id, text, shingle), max_bits)
+    first = F.min(F.struct(F.col("least").isNull().alias("unknown"), F.col("least"), F.col("code")))
+    chosen = placed.groupBy("group_code").agg(first.alias("first")).select(F.col("first.code").alias("__code"), F.col("first.least").alias("__id"))
+    rows = with_fingerprint(docs, text, "__own", shingle)
+    met = rows.join(staged(chosen, "chosen"), (F.col("__own") == F.col("__code")) & F.col(doc_id).eqNullSafe(F.col("__id")))
+    # Only repeated rows are left to be told apart; they lie together already.
+    return met.dropDuplicates(["__own", doc_id]).drop("__own", "__code", "__id")

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, free_of, small_table, staged
+from rollbook.llm.common import constant_array, discard, free_of, small_table, staged
 
 MAX_LISTED = 1_000_000  # keys of one list: with 12 bits a key at most 1.5 MB in a plan
 BITS_PER_KEY = 12
@@ -122,7 +122,9 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
             raise ValueError(f"level {number} would hold {count} keys; give more bits a key")
         levels.append(_level(outside, count, number))
         passing = staged(inside.where(levels[-1].passes(F.col("key"), number)), f"doubt{number}")
+        discard(inside)
         inside, outside = outside, passing
+    discard(inside, outside)
     return Cascade(tuple(levels))
 
 
@@ -154,6 +156,7 @@ def judge(
     block = cascade([h + p for action, h, p in rules if action == "block"])
     allow = cascade([h + p for action, h, p in rules if action == "allow"])
     listed = cascade(list(hosts))
+    discard(universe)
 
     # A struct's first field decides: the longest key, then "block" before "allow".
     def best(action: str, found: Cascade) -> Column:

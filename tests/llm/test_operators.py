@@ -178,6 +178,7 @@ CLASHES = [
     (lambda d: urls.judge(d.withColumns({"url": F.lit("http://a.net/"), "HOST": F.lit(1)})), "host"),
     (lambda d: packing.packed(d.withColumn("bucket", F.lit("x"))), "bucket"),
     (lambda d: simhash.near_duplicates(d.withColumn("fingerprint", F.lit(1))), "fingerprint"),
+    (lambda d: simhash.with_fingerprint(d, "text", "code"), "code"),
     (lambda d: pii.detect(d.withColumn("Spans", F.lit(1))), "spans"),
     (lambda d: quality.scored(d, quality.fit(np.zeros((0, quality.TERMS), np.float32), np.zeros(0))), "score"),
     (lambda d: toxicity.scored(d, toxicity.fit([], np.zeros(0, int))), "score"),
