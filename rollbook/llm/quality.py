@@ -6,8 +6,8 @@ inverse document frequency and scaled to length 1 they are projected to ``RANK``
 vectors of the labelled texts. Every document is compared, by exact cosine products in blocks, with all labelled
 vectors; the ``NEIGHBOURS`` nearest vote with weight similarity ** ``POWER``.
 
-The model is fitted on at most ``MAX_SAMPLE`` labelled documents per label, those of smallest id hash; it is broadcast,
-and its size is fixed by that bound: 2 * MAX_SAMPLE * RANK * 4 bytes for the neighbours, TERMS * RANK * 4 for the
+The model is fitted on at most ``MAX_SAMPLE`` labelled documents per label, those of smallest id hash, by one task; it is
+broadcast, and its size is fixed by that bound: 2 * MAX_SAMPLE * RANK * 4 bytes for the neighbours, TERMS * RANK * 4 for the
 projection. All documents are scored, over their whole texts.
 
 Defined cases: null and empty texts have one shared vector (of the shape traits) and get a score like any other. Without any
@@ -18,6 +18,7 @@ with the name of an output is replaced by it.
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -77,6 +78,14 @@ def term_counts(text: bytes | None) -> np.ndarray:
     return out
 
 
+def _weighted(counts: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Trigrams weighted and scaled to length 1, then the traits."""
+    x = counts.astype(np.float32) * weights
+    x[:, :HASHED] /= np.maximum(np.linalg.norm(x[:, :HASHED], axis=1, keepdims=True), 1e-9)
+    x[:, HASHED:] *= _TRAIT_WEIGHT
+    return x
+
+
 @dataclass(frozen=True)
 class Model:
     weights: np.ndarray  # of the terms
@@ -85,10 +94,7 @@ class Model:
     labels: np.ndarray
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        x = counts * self.weights
-        x[:, :HASHED] /= np.maximum(np.linalg.norm(x[:, :HASHED], axis=1, keepdims=True), 1e-9)
-        x[:, HASHED:] *= _TRAIT_WEIGHT
-        y = x @ self.projection
+        y = _weighted(counts, self.weights) @ self.projection
         return y / np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
 
     def score(self, counts: np.ndarray) -> np.ndarray:
@@ -102,20 +108,22 @@ class Model:
 
 
 def fit(counts: np.ndarray, labels: np.ndarray, rank: int = RANK) -> Model:
-    """Inverse document frequencies, the leading singular vectors and the labelled vectors."""
+    """Inverse document frequencies, the leading singular vectors and the labelled vectors, in blocks of rows."""
     n = len(counts)
+    blocks = [slice(k, k + _BLOCK) for k in range(0, n, _BLOCK)]
     weights = np.ones(TERMS, np.float32)
-    weights[:HASHED] = np.log((1 + n) / (1 + (counts[:, :HASHED] > 0).sum(axis=0))) + 1
-    empty = Model(weights, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
+    seen = sum(((counts[k, :HASHED] > 0).sum(axis=0) for k in blocks), np.zeros(HASHED))
+    weights[:HASHED] = np.log((1 + n) / (1 + seen)) + 1
     if n == 0:
-        return empty
-    x = counts * weights
-    x[:, :HASHED] /= np.maximum(np.linalg.norm(x[:, :HASHED], axis=1, keepdims=True), 1e-9)
-    x[:, HASHED:] *= _TRAIT_WEIGHT
-    values, vectors = np.linalg.eigh(x.T @ x)
+        return Model(weights, np.zeros((TERMS, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0))
+    products = np.zeros((TERMS, TERMS), np.float32)
+    for k in blocks:
+        x = _weighted(counts[k], weights)
+        products += x.T @ x
+    values, vectors = np.linalg.eigh(products)
     projection = np.ascontiguousarray(vectors[:, np.argsort(-values)[:rank]], np.float32)
     model = Model(weights, projection, np.zeros((0, rank), np.float32), np.zeros(0))
-    return Model(weights, projection, model.project(counts), labels.astype(np.float64))
+    return Model(weights, projection, np.concatenate([model.project(counts[k]) for k in blocks]), labels.astype(np.float64))
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str, doc_id: str = "doc_id", text: str = "text", bound: int = MAX_SAMPLE) -> Model:
@@ -140,9 +148,18 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column, label: str, doc_i
             yield pa.RecordBatch.from_arrays([batch.column("order"), batch.column("label"), pa.array(held, pa.binary())], names=["order", "label", "counts"])
 
     one = texts.mapInArrow(run, "order bigint, label int, counts binary").groupBy("order").agg(F.min_by("label", "counts").alias("label"), F.min("counts").alias("counts"))
-    found = one.orderBy("order").toArrow()
-    counts = np.stack([np.frombuffer(b, np.float16) for b in found["counts"].to_pylist()]).astype(np.float32) if len(found) else np.zeros((0, TERMS), np.float32)
-    return fit(counts, found["label"].to_numpy())
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, labels = [np.zeros((0, TERMS), np.float16)], [np.zeros(0, np.int64)]
+        for batch in batches:
+            rows += [np.frombuffer(held.as_buffer(), np.float16)[None, :] for held in batch.column("counts")]
+            labels.append(batch.column("label").to_numpy(zero_copy_only=False))
+        model = fit(np.concatenate(rows), np.concatenate(labels))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    # The sample is bounded, and one task learns from it: the driver only gets the model.
+    found = one.repartition(1).sortWithinPartitions("order").mapInArrow(learn, "model binary").first()
+    return pickle.loads(found["model"]) if found else fit(np.zeros((0, TERMS), np.float16), np.zeros(0))
 
 
 def scored(docs: DataFrame, model: Model, text: str = "text", out: str = "score") -> DataFrame:
