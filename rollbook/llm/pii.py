@@ -146,7 +146,7 @@ def with_candidates(docs: DataFrame, text: str, out: str) -> DataFrame:
     """``docs`` with all candidates in the order of ``KINDS``, then of their places, each with its votes and traits."""
     whole = F.coalesce(F.col(text), F.lit(""))
     each = F.concat(*[_found(whole, kind) for kind in KINDS])
-    spans = F.when(whole.rlike("[0-9@=:]"), each).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    spans = F.when(whole.rlike("[0-9@=:]|AKIA|gh[pousr]_"), each).otherwise(F.array().cast(f"array<{_SPAN}>"))
     judged = F.transform(spans, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), _votes(s).alias("votes")))
     return docs.withColumn(out, judged)
 
