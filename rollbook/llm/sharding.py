@@ -4,12 +4,13 @@ Documents are linked through hubs: a hub joins all its members (documents of equ
 table of (row, hub) will do). A shard is a label. At first rows are dealt out evenly by a hash. Then, round by round,
 
 1. every hub counts its members per shard, by an aggregation that combines before the shuffle, as one short array;
-2. every linked row adds up the arrays of its hubs and wishes for the shard with most of its neighbours. Ties go the
-   same way for all members of a hub, so a group doesn't swap places for ever. Shards without room are not wished for;
+2. every linked row adds up the arrays of its hubs. Its home is the shard with most of its neighbours that has room for
+   them all or, if none has, as many of the fullest as hold them together. Ties go the same way for all members of a
+   hub, so a group doesn't swap places for ever. Rows elsewhere wish for a home, by a running total of the homes' room;
 3. wishes are granted up to each shard's quota, the number of its rows without links: these make way. The number of
    rows that come and go differs, so rows without links move from shards with too many to shards with too few.
 
-After every round shards differ by one row at most (law ``rows``). A group larger than a shard fills several. Pairs of
+Rounds go on until no wish is granted or a state comes back. After every round shards differ by one row at most (law ``rows``). A group larger than a shard fills several. Pairs of
 members are never made: a hub costs one row per member and one array. Only shard-by-shard totals reach the driver.
 
 Defined cases: a null text has no bytes and equals an empty one. Repeated rows are placed each, and are linked by their
@@ -24,8 +25,6 @@ from pyspark.sql import functions as F
 from rollbook.llm.common import constant_array, discard, numbered, slices_for, staged
 
 SHARDS = 24
-ROUNDS = 6
-SETTLED = 0.001  # stop once fewer rows than this share move
 
 
 def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -46,7 +45,7 @@ def links_of(rows: DataFrame, hub: str = "hub") -> DataFrame:
     return staged(rows.join(shared, hub, "left_semi").select("row", F.col(hub).alias("hub")), "links")
 
 
-def _wishes(state: DataFrame, links: DataFrame, room: list[int], shards: int) -> DataFrame:
+def _wishes(state: DataFrame, links: DataFrame, room: list[int], shards: int, slices: int) -> DataFrame:
     """(row, shard, wish) of the linked rows that want to move."""
     placed = links.join(state, "row")
     counts = placed.groupBy("hub", "shard").agg(F.count("*").alias("n"))
@@ -62,9 +61,23 @@ def _wishes(state: DataFrame, links: DataFrame, room: list[int], shards: int) ->
             s.alias("s"),
         ),
     )
-    open_to = constant_array(room)
-    usable = F.filter(total, lambda x: (x["s"] == F.col("shard")) | (F.element_at(open_to, x["s"] + 1) > 0))
-    return one.select("row", "shard", F.array_max(usable)["s"].alias("wish")).where(F.col("wish") != F.col("shard"))
+    space = lambda s: F.element_at(constant_array(room), s + 1)
+    every = F.aggregate("total", F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
+    ranked = F.sort_array(
+        F.transform("total", lambda x: F.struct((x["n"] + space(x["s"]) >= F.col("every")).alias("whole"), x["n"].alias("n"), x["tie"].alias("tie"), x["s"].alias("s"))), asc=False
+    )
+    start = F.struct(F.lit(0).cast("bigint").alias("held"), F.array().cast("array<int>").alias("of"))
+    step = lambda t, x: F.when(
+        t["held"] < F.col("every"),
+        F.struct((t["held"] + x["n"] + space(x["s"])).alias("held"), F.concat(t["of"], F.array(x["s"])).alias("of")),
+    ).otherwise(t)
+    homes = one.select("row", "shard", "hub", total.alias("total")).withColumn("every", every).withColumn("ranked", ranked)
+    homes = homes.select("row", "shard", "hub", F.aggregate("ranked", start, step, lambda t: t["of"]).alias("homes"))
+    movers = numbered(homes.where(~F.array_contains("homes", F.col("shard"))), ["hub"], "row", "at", slices)
+    none = F.struct(F.col("at").cast("bigint").alias("left"), F.lit(None).cast("int").alias("s"))
+    pick = lambda t, s: F.struct((t["left"] - space(s)).alias("left"), F.when(t["s"].isNull() & (t["left"] < space(s)), s).otherwise(t["s"]).alias("s"))
+    wished = movers.select("row", "shard", F.aggregate("homes", none, pick, lambda t: t["s"]).alias("wish"))
+    return wished.where(F.col("wish").isNotNull())
 
 
 def _range_of(at: Column, sizes: list[int]) -> Column:
@@ -76,18 +89,20 @@ def _range_of(at: Column, sizes: list[int]) -> Column:
     return F.size(F.filter(constant_array(ends), lambda e: e <= at)).cast("int")
 
 
-def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
+def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: int | None = None) -> DataFrame:
     """(row, shard) after label propagation; ``rows`` has ``row``, ``links`` has (row, hub). Counts stay even."""
     slices = slices_for(rows.count())
     linked = links.select("row").distinct().withColumn("linked", F.lit(True))
     state = rows.select("row").join(linked, "row", "left").select("row", F.coalesce("linked", F.lit(False)).alias("linked"))
     state = numbered(state, [], "row", "at", slices)
     state = staged(state.select("row", "linked", (F.col("at") % shards).cast("int").alias("shard")), "state0")
-    for number in range(1, rounds + 1):
+    number, seen = 0, set()
+    while rounds is None or number < rounds:
+        number += 1
         totals = {r["shard"]: (r["n"], r["free"]) for r in state.groupBy("shard").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("free")).collect()}
         size = [totals.get(s, (0, 0))[0] for s in range(shards)]
         room = [totals.get(s, (0, 0))[1] for s in range(shards)]
-        wishes = staged(_wishes(state.select("row", "shard"), links, room, shards), f"wishes{number}")
+        wishes = staged(_wishes(state.select("row", "shard"), links, room, shards, slices), f"wishes{number}")
         granted = numbered(wishes, ["wish"], "row", "at", slices).where(F.col("at") < F.element_at(constant_array(room), F.col("wish") + 1))
         granted = staged(granted.select("row", "shard", "wish"), f"granted{number}")
         flows = granted.groupBy("shard", "wish").agg(F.count("*").alias("n")).collect()  # shards squared at most
@@ -106,12 +121,14 @@ def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: in
         before = state
         state = staged(state.join(moves, "row", "left").select("row", "linked", F.coalesce("wish", "shard").alias("shard")), f"state{number}")
         discard(wishes, granted, before)
-        if moved < SETTLED * sum(size):
+        mark = state.agg(F.sum(F.xxhash64("row", "shard").cast("decimal(38,0)"))).first()[0]
+        if mark in seen:
             break
+        seen.add(mark)
     return state.select("row", "shard")
 
 
-def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sharded(docs: DataFrame, shards: int = SHARDS, rounds: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: id, ``size``, ``text_crc32``, ``hub`` (digest of the text), ``shard``, ``slot``."""
     rows = measured(docs, doc_id, text)
     placed = rows.join(balanced(rows, links_of(rows), shards, rounds), "row")
