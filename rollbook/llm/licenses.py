@@ -55,19 +55,27 @@ PHRASES = (
     _phrase("all rights reserved", "reserved"),
 )
 # Usual short notices and the opening words of usual license texts. Kinds of one license that differ in a single word
-# must have nearly all words.
+# must have nearly all words. So must notices that name their license in one word: others have all the rest. Their usual
+# shorter forms, which do name it, are notices of their own.
 NOTICES = (
-    _notice("licensed under the apache license version 2 0", "apache"),
+    _notice("licensed under the apache license version 2 0", "apache", 1.0),
+    _notice("licensed under the apache license version 2", "apache", 1.0),
+    _notice("licensed under apache license version 2 0", "apache", 1.0),
+    _notice("under the apache license version 2 0", "apache", 1.0),
     _notice("you may not use this file except in compliance with the license", "apache"),
     _notice("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
     _notice("licensed under cc by nc 4 0", "cc-by-nc", 0.9),
     _notice("licensed under cc by sa 4 0", "cc-by-sa", 0.9),
-    _notice("this work is dedicated to the public domain under cc0", "cc0"),
-    _notice("this work is licensed under the gnu general public license version 3", "gpl"),
-    _notice("gnu lesser general public license", "lgpl"),
-    _notice("released under the mit license", "mit"),
+    _notice("this work is dedicated to the public domain under cc0", "cc0", 1.0),
+    _notice("is dedicated to the public domain under cc0", "cc0", 1.0),
+    _notice("this work is licensed under the gnu general public license version 3", "gpl", 0.9),
+    _notice("gnu lesser general public license", "lgpl", 1.0),
+    _notice("lesser general public license", "lgpl", 1.0),
+    _notice("released under the mit license", "mit", 1.0),
+    _notice("released under mit license", "mit", 1.0),
+    _notice("under the mit license", "mit", 1.0),
     _notice("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    _notice("subject to the terms of the mozilla public license", "mpl"),
+    _notice("subject to the terms of the mozilla public license", "mpl", 1.0),
 )
 TEMPLATES = (*PHRASES, *NOTICES)
 
