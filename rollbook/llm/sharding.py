@@ -10,7 +10,7 @@ table of (row, hub) will do). A shard is a label. At first rows are dealt out ev
 3. wishes are granted up to each shard's quota, the number of its rows without links: these make way. The number of
    rows that come and go differs, so rows without links move from shards with too many to shards with too few.
 
-Rounds go on until no wish is granted or a state comes back. After every round shards differ by one row at most (law ``rows``). A group larger than a shard fills several. Pairs of
+Rounds go on until no wish is granted or a round brings no more neighbours together. After every round shards differ by one row at most (law ``rows``). A group larger than a shard fills several. Pairs of
 members are never made: a hub costs one row per member and one array. Only shard-by-shard totals reach the driver.
 
 Defined cases: a null text has no bytes and equals an empty one. Repeated rows are placed each, and are linked by their
@@ -96,7 +96,7 @@ def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: in
     state = rows.select("row").join(linked, "row", "left").select("row", F.coalesce("linked", F.lit(False)).alias("linked"))
     state = numbered(state, [], "row", "at", slices)
     state = staged(state.select("row", "linked", (F.col("at") % shards).cast("int").alias("shard")), "state0")
-    number, seen = 0, set()
+    number, best = 0, 0
     while rounds is None or number < rounds:
         number += 1
         totals = {r["shard"]: (r["n"], r["free"]) for r in state.groupBy("shard").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("free")).collect()}
@@ -120,11 +120,13 @@ def balanced(rows: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: in
         moves = granted.select("row", "wish").union(leaving.select("row", _range_of(place, under).alias("wish")))
         before = state
         state = staged(state.join(moves, "row", "left").select("row", "linked", F.coalesce("wish", "shard").alias("shard")), f"state{number}")
-        discard(wishes, granted, before)
-        mark = state.agg(F.sum(F.xxhash64("row", "shard").cast("decimal(38,0)"))).first()[0]
-        if mark in seen:
+        discard(wishes, granted)
+        together = links.join(state, "row").groupBy("hub", "shard").agg(F.count("*").alias("n")).agg(F.sum(F.col("n") * F.col("n"))).first()[0]
+        if rounds is None and together <= best:
+            state = before
             break
-        seen.add(mark)
+        best = together
+        discard(before)
     return state.select("row", "shard")
 
 
