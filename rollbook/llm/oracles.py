@@ -77,4 +77,40 @@ URLS = f"""
     from p left join (select * from fits where place=1) using (rid)
     """
 
-ORACLES = {"op3_winnowing": WINNOWING, "op7_license_join": LICENSES, "op9_bloom_cascade": URLS}
+JACCARD = f"""
+    with recursive d as (select row_number() over () rid, doc_id,
+        regexp_extract_all(translate(coalesce(text,''),'{_UPPER}','{_LOWER}'),'[^\\x20\\x09-\\x0D]+') ws from documents),
+    s as (select distinct rid, array_to_string(ws[k+1:k+3],' ') gram
+      from d, unnest(range(0,greatest(len(ws)-2,1))) as r(k) where len(ws)>0),
+    n as (select rid, count(*) n from s group by rid),
+    o as (select a.rid a, b.rid b, count(*) o from s a join s b using (gram) where a.rid<>b.rid group by a.rid, b.rid),
+    links as (select a, b from o join n x on x.rid=a join n y on y.rid=b where 100*o>=90*(x.n+y.n-o)),
+    reach as (select rid a, rid b from d union select reach.a, links.b from reach join links on reach.b=links.a),
+    least as (select a rid, min(doc_id) component_id from reach join d on d.rid=reach.b group by a)
+    select doc_id, cast(coalesce(n,0) as bigint) n_shingles, component_id from d left join n using (rid) join least using (rid)
+    """
+
+SEARCH = f"""
+    with d as (select row_number() over () rid, doc_id, {_words("text")} ws from documents),
+    i as (select row_number() over () item, item_id, {_words("text")} ws from benchmark),
+    it as (select distinct item, item_id, unnest(ws) term from i),
+    totals as (select count(*) n_docs, sum(len(ws)) n_terms from d where len(ws)>0),
+    tf as (select rid, doc_id, n, term, count(*) tf from (select rid, doc_id, len(ws) n, unnest(ws) term from d)
+      where term in (select term from it) group by rid, doc_id, n, term),
+    df as (select term, count(*) df from tf group by term),
+    parts as (select item, item_id, rid, doc_id, cast(floor(1000*ln((2*n_docs+2)/(2*df+1))) as bigint)
+        * ((1000000000*tf) // (1000*tf+8*(100-90+((90*n*n_docs) // n_terms)))) part
+      from tf join df using (term) join it using (term), totals),
+    scored as (select item, item_id, doc_id, cast(sum(part) as bigint) score from parts group by item, item_id, rid, doc_id)
+    select item_id, cast(place as int) "rank", doc_id, score
+    from (select *, row_number() over (partition by item order by score desc, doc_id) place from scored where score>0)
+    where place<=10
+    """
+
+ORACLES = {
+    "op3_winnowing": WINNOWING,
+    "op7_license_join": LICENSES,
+    "op9_bloom_cascade": URLS,
+    "op11_jaccard_join": JACCARD,
+    "op12_reversed_search": SEARCH,
+}

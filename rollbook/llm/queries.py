@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontaminate, fingerprints, licenses, packing, pii, quality, sharding, simhash, toxicity, urls
+from rollbook.llm import decontaminate, fingerprints, jaccard, licenses, packing, pii, quality, search, sharding, simhash, toxicity, urls, whitening
 from rollbook.llm.common import table
 from rollbook.llm.oracles import ORACLES  # noqa: F401
 
@@ -89,6 +89,18 @@ def op10_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.joined(table(spark, sf_dir, "documents"))
+
+
+def op12_reversed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_chebyshev_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -102,5 +114,8 @@ QUERIES = {
         op8_weak_supervision,
         op9_bloom_cascade,
         op10_bottom_k,
+        op11_jaccard_join,
+        op12_reversed_search,
+        op13_chebyshev_whitening,
     )
 }

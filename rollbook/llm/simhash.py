@@ -279,7 +279,9 @@ def components(edges: DataFrame) -> DataFrame:
         discard(before)
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if now == mark:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+            out.staged_at = edges.staged_at
+            return out
         mark = now
 
 

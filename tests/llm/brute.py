@@ -165,3 +165,70 @@ def edited(docs):
 
 def crc(text):
     return zlib.crc32((text or "").encode())
+
+
+def shingle_set(text, n=3):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} or ({tuple(w)} if w else set())
+
+
+def jaccard_components(docs, percent=90):
+    """Per row: id, size of its set, smallest id reachable by links."""
+    sets = [shingle_set(t) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(k):
+        while root[k] != k:
+            root[k] = root[root[k]]
+            k = root[k]
+        return k
+
+    for a, x in enumerate(sets):
+        for b in range(a):
+            y = sets[b]
+            if x and y and min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)) and find(a) != find(b):
+                if 100 * len(x & y) >= percent * len(x | y):
+                    root[find(a)] = find(b)
+    least = {}
+    for k, (d, _) in enumerate(docs):
+        if d is not None:
+            least[find(k)] = min(d, least.get(find(k), d))
+    return Counter((d, len(sets[k]), least.get(find(k))) for k, (d, _) in enumerate(docs))
+
+
+def ranking(docs, items, top=10):
+    """Per item row its best documents: (item, rank, id, score)."""
+    import math
+
+    terms = [Counter(words(t)) for _, t in docs]
+    n_docs, total = sum(bool(c) for c in terms), sum(c.total() for c in terms)
+    df = Counter(t for c in terms for t in c)
+    out = Counter()
+    for item, text in items:
+        scored = []
+        for (d, _), c in zip(docs, terms, strict=True):
+            score = 0
+            for t in set(words(text)) & set(c):
+                m = 100 - 90 + (90 * c.total() * n_docs) // total
+                score += math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) * ((10**9 * c[t]) // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, d is None, d))
+        for rank, (score, _, d) in enumerate(sorted(scored, key=lambda r: (r[0], r[1], r[2] or 0))[:top], 1):
+            out[(item, rank, d, -score)] += 1
+    return out
+
+
+def whitened(vectors):
+    """Usable vectors as (id, exact deviation), n, and numpy's eigenvalues (falling), axes and centred rows."""
+    import math
+
+    import numpy as np
+
+    kept = [(i, [math.floor(1024 * c) + 100_000 for c in v]) for i, v in vectors if v and all(c is not None and math.isfinite(c) for c in v)]
+    n = len(kept)
+    x = np.array([v for _, v in kept], float)
+    sums = [sum(v[k] for _, v in kept) for k in range(len(kept[0][1]))]
+    deviation = [(i, sum((n * a - s) ** 2 for a, s in zip(v, sums, strict=True))) for i, v in kept]
+    centred = x - np.array(sums) / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    return deviation, n, values[::-1], axes[:, ::-1], centred

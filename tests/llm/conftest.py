@@ -39,12 +39,15 @@ def odd_dir(spark, tmp_path_factory):
     urls = [None, "", "no scheme", "http://", "https://NET/", "http://a.net", "http://a.net/x?y", "http://Example.NET/en/1#f", "http://example.net/en", "http://x.example.com/de/a", "http://example.com/fr/", "http://a.org/fr/b", "http://org/fr/", "http://notorg/fr/", "http://..net/", "http://a://b.org/fr/", "http://x.casino-win.example.com/", "http://xnet/", "ftp://u@h.net:80/a"]
     pages = [(k, u, "h", "z") for k, u in enumerate([*urls, *urls])]
     spark.createDataFrame(pages, "page_id bigint, url string, html string, key string").write.parquet(f"{at}/pages.parquet")
+    nan, inf = float("nan"), float("inf")
+    vectors = [(None, [1.0, 2.0, 3.0]), (1, None), (2, []), (3, [1.0, None, 2.0]), (4, [nan, 0.0, 0.0]), (5, [0.0, inf, 0.0]), (6, [1.0, 2.0]), (7, [0.1, -0.2, 0.3]), (7, [0.1, -0.2, 0.3]), (8, [5.0, -1.0, 0.25]), (9, [-3.0, 0.5, 0.125]), (9, [2.0, 2.0, 2.0]), (10, [1e30, 0.0, 0.0])]
+    spark.createDataFrame([(*v, 1, 2) for v in vectors], "vec_id bigint, embedding array<float>, label int, n int").repartition(3).write.parquet(f"{at}/embeddings.parquet")
     return at
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, odd_dir, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "benchmark", "labels", "pages"):
+    for name in ("documents", "benchmark", "labels", "pages", "embeddings"):
         spark.read.parquet(f"{odd_dir}/{name}.parquet").limit(0).write.parquet(f"{at}/{name}.parquet")
     return at
