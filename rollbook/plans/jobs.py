@@ -20,12 +20,14 @@ from pyspark.sql import functions as F
 from rollbook.operators.checks import request_report, shared_key_failures, stored_key_failures
 from rollbook.operators.flatten import flatten
 from rollbook.operators.synclog import log_rows
+from rollbook.plans.cascades import has_children, keys_that_go, stage_cascade
 from rollbook.plans.requests import request_plan
 from rollbook.schemas.endpoints import AREAS, ENDPOINTS, Endpoint
 from rollbook.schemas.tables import TABLES
 from rollbook.session import materialize, remove, scratch_path
+from rollbook.sources.chains import numbered_chains
 from rollbook.sources.landing import asked_pages, chain_status, newest_fetches, pages_of_days, parse_pages, records_of
-from rollbook.sources.warehouse import Warehouse
+from rollbook.sources.warehouse import Replacement, Warehouse
 
 # Areas of the three ways a sync is started.
 FULL = AREAS
@@ -45,6 +47,7 @@ _LAST_WINS = {"beh_events": "BehEventId", "staff": "StaffId"}
 
 
 def full_sync(warehouse: Warehouse, pages: DataFrame, config: DataFrame, as_of: date, **options) -> DataFrame:
+    """Every area. With ``cascade=True``, what hangs on rows that did not come back goes with them."""
     return run_sync(warehouse, pages, config, as_of, FULL, **options)
 
 
@@ -60,32 +63,40 @@ def behaviour_sync(warehouse: Warehouse, pages: DataFrame, config: DataFrame, as
 def run_sync(
     warehouse: Warehouse, pages: DataFrame, config: DataFrame, as_of: date, areas: Iterable[str] = FULL,
     dataset: str | None = None, logged_at: datetime | None = None, parallel: int = 4, landed_since: date | None = None,
+    **options,
 ) -> DataFrame:
     """Plan the requests of ``areas``, store what they brought, log every one. Returns the new log rows.
 
-    ``dataset`` re-loads another academic year (a historic back-fill); all other years stay untouched.
+    ``dataset`` re-loads another academic year (a historic back-fill); all other years stay untouched. For ``options``
+    see ``sync_requests``.
     """
     areas = tuple(areas)
     plan = request_plan(config, as_of, areas, dataset)
     names = [e.name for area in areas for e in ENDPOINTS.values() if e.area == area]
-    return sync_requests(warehouse, pages, plan, names, logged_at, parallel, landed_since=landed_since)
+    return sync_requests(warehouse, pages, plan, names, logged_at, parallel, landed_since=landed_since, **options)
 
 
 def sync_requests(
     warehouse: Warehouse, pages: DataFrame, plan: DataFrame, endpoints: Iterable[str],
     logged_at: datetime | None = None, parallel: int = 4, run: str | None = None, landed_since: date | None = None,
+    cascade: bool = False, page_numbers: bool = True,
 ) -> DataFrame:
     """Store the requests in ``plan``, area after area in the order given; ``parallel`` endpoints at a time.
 
     Of the landing folder only the endpoints and data sets asked are looked at (two narrow columns, from the day
     ``landed_since`` on if that is given), and page texts are read only from the days of the newest fetches.
 
+    What a job that died left half-way is finished or undone first. With ``cascade``, rows of other tables whose parent
+    does not come back with its slice go with it; endpoints then take turns. Without ``page_numbers`` the pages are put
+    in order by their cursors.
+
     The log is kept per ``run``: the same run made again replaces its log rows. An endpoint whose job breaks off
     fails its own requests, with the error in the log; all others are stored and logged.
     """
     # Plan and fetches hold one short row per request. Written out, their size is known when the joins with the
     # pages are planned, so the page texts are not shuffled unless there really are too many requests to broadcast.
     folder = scratch_path(warehouse.spark, "sync")
+    warehouse.recover()
     try:
         plan = materialize(plan, "plan", folder)
         pages = asked_pages(pages, plan, landed_since)
@@ -96,10 +107,11 @@ def sync_requests(
             # Endpoints that feed the same table take turns; the others run side by side and share the cluster.
             lanes: dict[str, list[Endpoint]] = {}
             for endpoint in area:
-                lanes.setdefault(endpoint.tables[0], []).append(endpoint)
+                lanes.setdefault("" if cascade else endpoint.tables[0], []).append(endpoint)
             with ThreadPoolExecutor(parallel) as pool:
                 made = pool.map(
-                    lambda lane: [_isolated(warehouse, pages, plan, fetches, e, folder) for e in lane], lanes.values()
+                    lambda lane: [_isolated(warehouse, pages, plan, fetches, e, folder, cascade, page_numbers) for e in lane],
+                    lanes.values(),
                 )
                 outcomes += [outcome for lane in made for outcome in lane]
         log = log_rows(reduce(DataFrame.unionByName, outcomes), logged_at)
@@ -109,10 +121,11 @@ def sync_requests(
 
 
 def _isolated(
-    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str
+    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str,
+    cascade: bool, page_numbers: bool,
 ) -> DataFrame:
     try:
-        return _sync_endpoint(warehouse, pages, plan, fetches, endpoint, folder)
+        return _sync_endpoint(warehouse, pages, plan, fetches, endpoint, folder, cascade, page_numbers)
     except Exception as error:  # whatever it is, it is logged, and the other endpoints go on
         asked = plan.filter(F.col("endpoint") == endpoint.name)
         return asked.withColumns(
@@ -121,12 +134,16 @@ def _isolated(
 
 
 def _sync_endpoint(
-    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str
+    warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str,
+    cascade: bool = False, page_numbers: bool = True,
 ) -> DataFrame:
     asked = plan.filter(F.col("endpoint") == endpoint.name)
     landed = pages.filter(F.col("endpoint") == endpoint.name)
     landed = landed.join(fetches, ["request_id", "fetched_at"], "left_semi")
     parsed = materialize(parse_pages(landed, endpoint), f"{endpoint.name}-pages", folder)
+    if not page_numbers:
+        # A page without a place has number 0, which no whole chain has.
+        parsed = numbered_chains(parsed, f"{folder}/{endpoint.name}-chain").withColumn("page_no", F.coalesce("page_no", F.lit(0)))
 
     chains = asked.select("request_id").join(chain_status(parsed), "request_id", "left")
     chains = chains.select(
@@ -155,10 +172,17 @@ def _sync_endpoint(
     stored = outcome.filter(F.col("problem").isNull() & ~F.col("skipped"))
     slices = _slices(stored, endpoint)
     good_records = records_of(readable).join(stored.select("request_id"), "request_id", "left_semi")
-    for name, rows in tables.items():
-        good = rows.join(stored.select("request_id"), "request_id", "left_semi")
-        empty = slices.filter(F.col(f"rows_{name}").isNull())
-        _store(warehouse, endpoint, name, good, slices, empty, good_records, folder)
+    # Parents and children of the requests are replaced as one step.
+    with warehouse.commit() as made:
+        gone = {}
+        for name, rows in tables.items():
+            good = rows.join(stored.select("request_id"), "request_id", "left_semi")
+            empty = slices.filter(F.col(f"rows_{name}").isNull())
+            _store(made, endpoint, name, good, slices, empty, good_records, folder)
+            if cascade and has_children(name) and endpoint.name not in _LAST_WINS:
+                keys = materialize(keys_that_go(warehouse, name, good, slices), f"{name}-gone", folder)
+                gone |= {} if keys.isEmpty() else {name: keys}
+        stage_cascade(made, gone, folder, same_slice=True)
     return outcome.drop(*[f"rows_{name}" for name in tables])
 
 
@@ -223,11 +247,11 @@ def _failed(requests: DataFrame, problem: str, table: str) -> DataFrame:
 
 
 def _store(
-    warehouse: Warehouse, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, empty: DataFrame,
+    made: Replacement, endpoint: Endpoint, name: str, rows: DataFrame, slices: DataFrame, empty: DataFrame,
     records: DataFrame, folder: str,
 ) -> None:
     if endpoint.name not in _LAST_WINS:
-        warehouse.replace_slices(name, rows, slices, empty)
+        made.replace_slices(name, rows, slices, empty)
         return
     key = _LAST_WINS[endpoint.name]
     sent = records.select(F.col("row.id").alias(key), "request_id")
@@ -236,7 +260,7 @@ def _store(
     # Only the staff who were sent again are replaced; leavers stay, so no slice is emptied.
     whole_slices = endpoint.name != "staff"
     replaced = slices if whole_slices else slices.filter(F.lit(False))
-    warehouse.replace_by_id(name, rows, replaced, key, sent, whole_slices, folder)
+    made.replace_by_id(name, rows, replaced, key, sent, whole_slices, folder)
 
 
 def _report(endpoint: Endpoint, name: str, rows: DataFrame) -> DataFrame:

@@ -2,17 +2,17 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.operators.project import project
 from rollbook.schemas.tables import GRADE_TYPES, TABLES
-from rollbook.session import file_system, materialize, remove
-
-# Characters that a partition folder's name writes as %XX.
-_ESCAPED = set("\"#%'*/:=?\\{[]^\x7f") | {chr(c) for c in range(32)}
+from rollbook.session import file_system, materialize
+from rollbook.sources.commits import Commit, recover, slice_folder
+from rollbook.sources.idindex import INDEXED, IdIndex
 
 
 class Warehouse:
@@ -39,83 +39,119 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
 
-    def replace_slices(
-        self, table: str, rows: DataFrame, slices: DataFrame, empty: DataFrame | None = None
+    def read_slices(self, table: str, slices: Iterable[Row]) -> DataFrame:
+        """Only the rows of the given slices; no other folder is listed or read. Slices never written are empty."""
+        spec = TABLES[table]
+        fs, _ = file_system(self.spark, self.path(table))
+        paths = [f"{self.path(table)}/{slice_folder(spec.slice, row)}" for row in slices]
+        paths = [p for p in dict.fromkeys(paths) if fs.exists(file_system(self.spark, p)[1])]
+        if not paths:
+            return self.spark.createDataFrame([], spec.storage_schema)
+        read = self.spark.read.schema(spec.storage_schema).option("basePath", self.path(table))
+        return read.parquet(*paths).select(*spec.storage_schema.names)
+
+    def ids(self, table: str) -> IdIndex:
+        """The table's index from id to slice, made from the stored rows if there is none yet."""
+        index = IdIndex(self.spark, self.root, table)
+        fs, where = file_system(self.spark, self.path(table))
+        if fs.exists(where) and not index.exists():
+            index.rebuild(self.read(table))
+        return index
+
+    def recover(self) -> list[str]:
+        """Finishes or undoes what a job that died has left. To be called while no other job writes."""
+        return recover(self.spark, self.root)
+
+    @contextmanager
+    def commit(self) -> Iterator[Replacement]:
+        """Replacements that are made together: all of them, or, if the body raises, none."""
+        with Commit(self.spark, self.root) as made:
+            yield Replacement(self, made)
+
+    def replace_slices(self, table: str, rows: DataFrame, slices: DataFrame, empty: DataFrame | None = None) -> None:
+        """Make ``rows`` the whole content of ``slices``; other slices are not touched or read."""
+        with self.commit() as made:
+            made.replace_slices(table, rows, slices, empty)
+
+    def replace_by_id(
+        self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,
+        folder: str | None = None,
     ) -> None:
-        """Make ``rows`` the whole content of ``slices``; other slices are not touched or read.
+        """Replace the slices, and remove rows with a sent id from every other slice as well."""
+        with self.commit() as made:
+            made.replace_by_id(table, rows, slices, key, sent_ids, inside, folder)
 
-        ``empty`` names the slices without rows where the caller knows them; else they are looked up.
+    def write_log(self, rows: DataFrame, run: str) -> DataFrame:
+        """The log rows of one run, in a folder of their own: a run made again replaces them. Returns them as stored."""
+        path = f"{self.path('SyncResults')}/run={run}"
+        project(rows, "SyncResults").write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(TABLES["SyncResults"].storage_schema).parquet(path)
 
-        The write overwrites the folders of the slices that have rows. Those that have none keep their old folder
-        under a dynamic overwrite, so they are removed by name. The rows are rebalanced by slice: AQE joins small
-        slices into one file each and splits a slice that is too large for one task.
+
+class Replacement:
+    """What one commit replaces. The stored tables stay as they are until the commit is over."""
+
+    def __init__(self, warehouse: Warehouse, made: Commit):
+        self.warehouse = warehouse
+        self._made = made
+
+    @property
+    def tables(self) -> set[str]:
+        """The tables that have been replaced in this commit."""
+        return {part.target for part in self._made.parts}
+
+    def replace_slices(self, table: str, rows: DataFrame, slices: DataFrame, empty: DataFrame | None = None) -> None:
+        """``rows`` become the whole content of ``slices``; other slices are not touched or read.
+
+        ``empty`` names the slices without rows where the caller knows them; else they are looked up.
         """
         spec = TABLES[table]
-        by = [F.col(c) for c in spec.slice]
-        (
-            project(rows, table)
-            .hint("rebalance", *by)
-            .sortWithinPartitions(*spec.slice, *[k for k in spec.key if k not in spec.slice])
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*spec.slice)
-            .parquet(self.path(table))
-        )
+        rows = project(rows, table)
+        if table in INDEXED:
+            self.warehouse.ids(table).add(rows)
         if empty is None:
             empty = slices.join(rows.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
         # One short row per slice that was asked for and came back empty: bounded by the request plan, and
         # fetched a partition at a time.
-        folders = (
-            "/".join([self.path(table), *[f"{c}={_folder_name(row[c])}" for c in spec.slice]])
-            for row in empty.select(*spec.slice).distinct().toLocalIterator()
-        )
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda folder: remove(self.spark, folder), folders))
+        emptied = [slice_folder(spec.slice, row) for row in empty.select(*spec.slice).distinct().toLocalIterator()]
+        self._made.stage(table, rows, spec.slice, [k for k in spec.key if k not in spec.slice], emptied)
 
     def replace_by_id(
         self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,
         folder: str | None = None,
     ) -> None:
-        """Replace the slices, and remove rows with a sent id from every other slice as well.
+        """Replaces the slices, and removes rows with a sent id from every other slice as well.
 
-        Only the slices that hold such rows are rewritten. Their other rows are staged in the shared folder before
-        anything is overwritten, so a job that dies half-way has lost nothing. ``inside`` says that all rows lie in
-        the slices; otherwise the slices they fall into keep their other rows. ``folder`` is where to stage.
+        The id index names the slices that may hold such rows. Of these alone the ids are read, and only those that
+        do hold one are written anew. ``inside`` says that all rows lie in the slices; otherwise the slices they
+        fall into keep their other rows. ``folder`` is where to stage what is used more than once.
         """
         spec = TABLES[table]
         on = list(spec.slice)
-        ids = sent_ids.select(key).distinct()
-        outside = self.read(table).join(slices.select(*on).distinct(), on, "left_anti")
-        touched = outside.join(ids, key, "left_semi").select(*on)
+        ids = materialize(sent_ids.select(key).distinct(), f"{table}-ids", folder)
+        asked = slices.select(*on).distinct()
+        named = self.warehouse.ids(table).slices_of(ids).select(*on).distinct()
+        # One short row per slice that holds a sent id besides those asked for.
+        named = list(named.join(asked, on, "left_anti").toLocalIterator())
+        touched = self.warehouse.read_slices(table, named).join(ids, key, "left_semi").select(*on)
         if not inside:
-            beside = rows.select(*on).distinct().join(slices.select(*on).distinct(), on, "left_anti")
-            touched = touched.unionByName(beside)
-        touched = materialize(touched.distinct(), f"{table}-touched", folder)
-        if touched.isEmpty():
+            touched = touched.unionByName(rows.select(*on).join(asked, on, "left_anti"))
+        touched = list(touched.distinct().toLocalIterator())
+        if not touched:
             self.replace_slices(table, rows, slices)
             return
-        survivors = outside.join(touched, on, "left_semi").join(ids, key, "left_anti")
+        survivors = self.warehouse.read_slices(table, touched).join(ids, key, "left_anti")
         content = project(survivors, table).unionByName(project(rows, table))
-        content = materialize(content, f"{table}-content", folder)
-        self.replace_slices(table, content, slices.select(*on).unionByName(touched))
+        schema = spec.storage_schema
+        also = self.warehouse.spark.createDataFrame([tuple(r) for r in touched], _fields(schema, on))
+        self.replace_slices(table, content, asked.unionByName(also))
 
-    def write_log(self, rows: DataFrame, run: str) -> DataFrame:
-        """The log rows of one run, in a folder of their own: a run made again replaces them. Returns them as stored."""
-        path = f"{self.path('SyncResults')}/run={run}"
-        project(rows, "SyncResults").write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(TABLES["SyncResults"].storage_schema).parquet(path)
+
+def _fields(schema, names: list[str]):
+    return type(schema)([schema[name] for name in names])
 
 
 def grade_types(spark: SparkSession) -> DataFrame:
     """The fixed grade types, as constants inside the plan."""
     rows = ", ".join(f"({number}, '{name}')" for number, name in GRADE_TYPES)
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(GradeTypeId, Name)")
-
-
-def _folder_name(value) -> str:
-    """What a slice's value is called in its folder; Spark has a name of its own for NULL."""
-    return "__HIVE_DEFAULT_PARTITION__" if value is None else _escaped(str(value))
-
-
-def _escaped(value: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
