@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm import decontaminate, nearcopies, packing, pii, quality
+from rollbook.llm import decontaminate, packing, pii, quality, simhash
 from rollbook.llm.common import discard, staged, table
 
 
@@ -28,10 +28,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document of smallest id stays (one row of it, if that id is repeated).
 
-    Texts are near duplicates if their sets of 5-word shingles have a similarity of 0.8 or more. The 3 words and 2 bits of
-    op5 are that query's contract.
+    Texts are near duplicates if chains of SimHash fingerprints of 3-word shingles, 2 bits apart at most, connect them.
     """
-    return nearcopies.one_of_each(_carried(docs)).select("doc.*")
+    return simhash.one_of_each(_carried(docs)).select("doc.*")
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +53,12 @@ def mask_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each document goes: its length bucket, batch and row; the texts stay in the stage before."""
-    return packing.packed(docs.select("doc_id", packing.token_count(F.col("text")).alias("tokens")), F.col("tokens")).drop("tokens")
+    """The documents with their length bucket, batch and row in the batch: what a trainer reads, texts included."""
+    placed = packing.packed(_carried(docs).drop("doc_id"))
+    own = [c for c in placed.columns if c not in ("text", "doc")]
+    taken = {c.lower() for c in own}
+    kept = [F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() not in taken]
+    return placed.select(*kept, *own)
 
 
 STAGES = [
@@ -71,6 +74,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed, masked texts with their placements. Each stage's table goes once the next one is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         before, docs = docs, staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
