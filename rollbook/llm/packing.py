@@ -7,8 +7,8 @@ that need the least padding, where every row of a bucket is padded to the bucket
 numbered, without gaps and without sorting a bucket in one task, and batches take as many rows as the token budget
 allows at the bucket's length.
 
-Defined cases: null and empty texts have length 0. A row longer than the budget is a batch of its own, whole. Repeated
-rows are packed each. Of several best boundaries the first in order is taken. Empty tables give empty results. Other
+Defined cases: null and empty texts have length 0. A row longer than the budget is a batch of its own, whole. Ids
+are not looked at: rows of null or repeated ids are packed each. Of several best boundaries the first in order is taken. Empty tables give empty results. Other
 columns are kept; one with the name of an output is replaced by it.
 """
 
@@ -67,13 +67,15 @@ def best_boundaries(longest: list[int], rows: list[int], total: list[int], bucke
 
 
 def packed(
-    docs: DataFrame, length: Column | None = None, key: str = "doc_id", text: str = "text", buckets: int = BUCKETS, budget: int = BUDGET
+    docs: DataFrame, length: Column | None = None, text: str = "text", buckets: int = BUCKETS, budget: int = BUDGET
 ) -> DataFrame:
     """``docs`` with ``n_tokens``, ``bucket`` (0 is the shortest), ``bucket_tokens`` (padded length), ``batch``
     (number within the bucket), ``batch_row`` and ``padding``. ``length`` counts tokens in a way of its own."""
-    docs = free_of(docs, "n_tokens", "bucket", "bucket_tokens", "batch", "batch_row", "padding", "__cell", "__number")
+    docs = free_of(docs, "n_tokens", "bucket", "bucket_tokens", "batch", "batch_row", "padding", "__cell", "__row", "__number")
     measured = docs.withColumn("n_tokens", token_count(F.col(text)) if length is None else length.cast("bigint"))
-    measured = staged(measured.withColumn("__cell", cell_of(F.col("n_tokens"))), "measured")
+    # A number of its own for each stored row: rows of one id, or of none, are dealt out like all others.
+    measured = measured.withColumns({"__cell": cell_of(F.col("n_tokens")), "__row": F.monotonically_increasing_id()})
+    measured = staged(measured, "measured")
     cells = (
         measured.groupBy("__cell").agg(F.max("n_tokens").alias("top"), F.count("*").alias("n"), F.sum("n_tokens").alias("sum")).orderBy("__cell").collect()
     )
@@ -84,10 +86,10 @@ def packed(
         "bucket_tokens", F.element_at(constant_array(tops or [0]), F.col("bucket") + 1)
     )
     capacity = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket_tokens", F.lit(1))), F.lit(1)).cast("bigint")
-    done = numbered(rows, ["bucket"], key, "__number", slices_for(sum(c["n"] for c in cells)))
+    done = numbered(rows, ["bucket"], "__row", "__number", slices_for(sum(c["n"] for c in cells)))
     return (
         done.withColumn("batch", F.floor(F.col("__number") / capacity).cast("bigint"))
         .withColumn("batch_row", F.col("__number") % capacity)
         .withColumn("padding", F.col("bucket_tokens") - F.col("n_tokens"))
-        .drop("__cell", "__number")
+        .drop("__cell", "__row", "__number")
     )
