@@ -3,9 +3,10 @@
 Vectors become whole numbers x = floor(SCALE * entry) + SHIFT, whose count and sums per dimension are exact. The leading
 eigenvectors of their covariance V are found without ever forming V: a pass over the stored vectors gives V Q for a block
 Q of a few columns, as the sum of C' (C Q) over the tasks' centred rows C. Each round filters the block by a Chebyshev
-polynomial of V (one pass a degree, by the three-term recurrence), which damps the spectrum from 0 to the block's
-smallest Ritz value and lets the wanted part grow; then come QR and Rayleigh-Ritz (one more pass). The degree is chosen
-so that the block stays well conditioned. Rounds go on until every wanted pair's residual |V q - e q| is within
+polynomial of V (one pass a degree, by the three-term recurrence), which damps the unwanted spectrum, up to the block's
+smallest Ritz value, and lets the wanted part grow; then come QR and Rayleigh-Ritz (one more pass). Where the spectrum
+begins is estimated by ``BOUND_STEPS`` Lanczos passes; a poor estimate costs rounds, not accuracy. The degree is
+chosen so that the block stays well conditioned. Rounds go on until every wanted pair's residual |V q - e q| is within
 ``RESIDUAL`` of the largest eigenvalue; if ``ROUNDS`` are not enough, the operator raises and gives no result.
 
 Tasks send their sums to ``MERGERS`` tasks, so the driver gets that many blocks of (dimensions x columns) per pass, however
@@ -33,7 +34,8 @@ SCALE, SHIFT = 1024, 100_000
 LARGEST = 2.0**40
 COMPONENTS = 8
 SPARE = 24  # columns of the block beyond the wanted ones: the wider, the further the damped spectrum lies below
-DEGREE = 10
+DEGREE = 16
+BOUND_STEPS = 6
 GROWTH = 1e9  # how much more a filter may magnify the first vector than the last
 RESIDUAL = 1e-12
 RANK = 1e-12
@@ -85,16 +87,27 @@ def _summed(vectors: DataFrame, size: int, of: Callable[[np.ndarray], np.ndarray
 
     parts = vectors.select("x").mapInArrow(partial, "part binary").repartition(MERGERS).mapInArrow(merged, "part binary")
     total = np.zeros(size, kind)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # one row per merging task
         total += np.frombuffer(row["part"], kept)
     return total
 
 
-def _degree(theta: np.ndarray) -> int:
-    """The highest degree up to ``DEGREE`` whose filter keeps the block well conditioned."""
-    top = 2 * theta[0] / theta[-1] - 1
-    growth = np.arccosh(max(top, 1.0))
-    return DEGREE if growth == 0 else int(np.clip(np.log(2 * GROWTH) / growth, 1, DEGREE))
+def _spectrum_begins(apply: Callable[[np.ndarray], np.ndarray], dims: int, steps: int) -> float:
+    """An estimate, from below, of the smallest eigenvalue: the smallest Ritz value of a short Lanczos run less its residual."""
+    start = np.random.default_rng(7).standard_normal(dims)
+    held, diagonal, beside = [start / np.linalg.norm(start)], [], []
+    for _ in range(min(steps, dims)):
+        image = apply(held[-1][:, None])[:, 0]
+        diagonal.append(held[-1] @ image)
+        basis = np.array(held)
+        for _ in range(2):  # twice is enough
+            image = image - basis.T @ (basis @ image)
+        beside.append(np.linalg.norm(image))
+        if beside[-1] <= RANK * abs(diagonal[-1]):
+            break
+        held.append(image / beside[-1])
+    theta, turn = np.linalg.eigh(np.diag(diagonal) + np.diag(beside[:-1], 1) + np.diag(beside[:-1], -1))
+    return max(0.0, theta[0] - beside[-1] * abs(turn[-1, 0]))
 
 
 def leading(apply: Callable[[np.ndarray], np.ndarray], dims: int, wanted: int, spare: int = SPARE) -> tuple[np.ndarray, np.ndarray, float]:
@@ -102,6 +115,7 @@ def leading(apply: Callable[[np.ndarray], np.ndarray], dims: int, wanted: int, s
     positive operator known only by ``apply(Q)``."""
     wanted = min(wanted, dims)
     width = min(dims, wanted + spare)
+    low = _spectrum_begins(apply, dims, BOUND_STEPS) if width < dims else 0.0
     block = np.linalg.qr(np.random.default_rng(42).standard_normal((dims, width)))[0]
     image = apply(block)
     for _ in range(ROUNDS):
@@ -112,10 +126,14 @@ def leading(apply: Callable[[np.ndarray], np.ndarray], dims: int, wanted: int, s
         residual = np.linalg.norm(image - block * theta, axis=0)[:wanted].max()
         if residual <= RESIDUAL * max(theta[0], 0) or theta[0] <= 0:
             return theta[:wanted], block[:, :wanted], residual
-        half = max(theta[-1], RANK * theta[0]) / 2  # the damped spectrum is centre 0..2*half
-        before, now = block, image / half - block
-        for _ in range(_degree(np.maximum(theta, 2 * half)) - 1):
-            before, now = now, 2 * (apply(now) / half - now) - before
+        high = max(theta[-1], low + RANK * theta[0])
+        centre, half = (high + low) / 2, (high - low) / 2
+        # The highest degree at which the first vector grows at most GROWTH times as much as the last.
+        growth = np.arccosh(max((theta[0] - centre) / half, 1.0))
+        degree = DEGREE if growth == 0 else int(np.clip(np.log(2 * GROWTH) / growth, 1, DEGREE))
+        before, now = block, (image - centre * block) / half
+        for _ in range(degree - 1):
+            before, now = now, 2 * (apply(now) - centre * now) / half - before
         # QR loses columns of very different length: they are scaled first.
         block = np.linalg.qr(now / np.linalg.norm(now, axis=0))[0]
         image = apply(block)
