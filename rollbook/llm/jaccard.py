@@ -14,9 +14,10 @@ and frequent n-grams do not bring sets together: only a whole fragment does.
 part separately and summed per pair, so a very long document is many rows in many tasks.
 
 Copies are one set, and no group gives out all its pairs. Every set has a level, falling off like 1/2, 1/4, ... In each
-round the sets of the highest ``STEP`` levels of a group meet the others of that group, but for those already linked to them
-through others; they are then done, and a group with one component left is done as a whole. A crowd of near copies
-is one component after a round or two. Only members that are not linked to each other are compared one by one.
+round the sets of the highest ``STEP`` levels of a group (twice as many in the second round, and so on) meet the others
+of that group, but for those already linked to them through others; they are then done, and a group with one component left is done as a whole. A crowd of near copies
+is one component after a round or two. Only members that are not linked to each other are compared one by one, and
+most of those only by their parity sketches of ``SKETCH`` bits: in as many bits as these differ, at least, the sets do.
 
 Defined cases: null and empty texts, and texts without words, have empty sets, which link with nothing: their component
 is their own id. Texts of fewer words than the shingle have one n-gram, all their words. A null id is never a component's
@@ -28,12 +29,12 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import discard, staged
@@ -44,7 +45,8 @@ PERCENT = 90
 LEAST_PERCENT = 85
 SLACK = 64
 PART = 512
-STEP = 2
+SKETCH = 512
+STEP = 3
 BROADCAST_KEYS = 1_000_000  # sets asked for in the second pass travel to the tasks up to so many (16 MB)
 
 _LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -61,21 +63,35 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_set(text: bytes | None, shingle: int, known: dict[bytes, int]) -> np.ndarray:
+class Words(dict):
+    """Numbers of the words a task has met; ``hashes`` holds their 64-bit hashes by number."""
+
+    def __init__(self):
+        self.hashes = np.zeros(1 << 10, np.uint64)
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        if number == len(self.hashes):
+            self.hashes = np.concatenate((self.hashes, np.zeros_like(self.hashes)))
+        self.hashes[number] = xxhash.xxh64_intdigest(word)
+        return number
+
+
+def shingle_set(text: bytes | None, shingle: int, known: Words) -> np.ndarray:
     """The distinct n-grams of a text as sorted 64-bit hashes."""
     words = text.translate(_LOWER).split() if text else []
     if not words:
         return np.zeros(0, np.uint64)
     if len(known) > _WORDS_KEPT:
         known.clear()
-    for w in set(words).difference(known):
-        known[w] = xxhash.xxh64_intdigest(w)
-    hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    hashes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+    hashes = known.hashes[hashes]
     width = min(shingle, len(words))
     grams = np.full(len(words) - width + 1, width, np.uint64)
     for k in range(width):
         grams = _mixed(grams * _ODD[0] + hashes[k : len(words) - width + 1 + k])
-    return np.unique(grams)
+    grams.sort()
+    return grams[np.concatenate(([True], grams[1:] != grams[:-1]))]
 
 
 @lru_cache(maxsize=None)
@@ -105,13 +121,12 @@ def _fragment_keys(hashes: np.ndarray, percent: int) -> np.ndarray:
         cuts = differ[k] + 1 + empty
         order = 0
         while True:
-            ranks = hashes if order == 0 else _mixed(hashes + np.uint64(order * int(_ODD[0]) & _ALL))
-            fragment = ((ranks >> np.uint64(32)) * np.uint64(cuts) >> np.uint64(32)).astype(np.int64)
-            sums = np.zeros(cuts, np.uint64)
-            np.add.at(sums, fragment, _mixed(ranks ^ _ODD[1]))
-            some = np.flatnonzero(np.bincount(fragment, minlength=cuts))
-            name = some.astype(np.uint64) + np.uint64(((lows[k] << 20) + order) * int(_ODD[2]) & _ALL)
-            keys.append(_mixed(_mixed(name) + sums[some]))
+            ranks = hashes if order == 0 else np.sort(_mixed(hashes + np.uint64(order * int(_ODD[0]) & _ALL)))
+            fragment = (ranks >> np.uint64(32)) * np.uint64(cuts) >> np.uint64(32)
+            starts = np.concatenate(([0], np.flatnonzero(fragment[1:] != fragment[:-1]) + 1))
+            some = fragment[starts]
+            name = some + np.uint64(((lows[k] << 20) + order) * int(_ODD[2]) & _ALL)
+            keys.append(_mixed(_mixed(name) + np.add.reduceat(_mixed(ranks ^ _ODD[1]), starts)))
             if cuts - len(some) <= empty:
                 break
             order += 1
@@ -127,29 +142,50 @@ def _digest(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
 
 
+_BITS = [f"s{k}" for k in range(SKETCH // 64)]  # the columns of a sketch
+
+
+def _sketch(hashes: np.ndarray) -> np.ndarray:
+    """Per bit whether an odd number of the set's hashes fall on it."""
+    odd = np.bincount((hashes & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint8) & 1
+    return np.packbits(odd).view("<i8")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and sketches of a row and its centre leave room for a link."""
+    apart = reduce(Column.__add__, [F.bit_count(F.col(c).bitwiseXOR(F.col(f"c_{c}"))) for c in _BITS])
+    sizes = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
+    return sizes & (apart * (100 + percent) <= (F.col("n") + F.col("c_n")) * (100 - percent))
+
+
 def _longs(hashes: np.ndarray) -> np.ndarray:
     return hashes.astype(np.uint64).view(np.int64)
 
 
 def _prints(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(id, n, digest, keys) of each document; without n-grams digest and keys are null."""
+    """(id, n, digest, keys, sketch) of each document; without n-grams the last three are null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known = Words()
         for batch in batches:
-            sizes, digests, keys = [], [], []
+            sizes, digests, keys, sketches = [], [], [], []
             for text in batch.column("text").cast(pa.binary()).to_pylist():
                 own = shingle_set(text, shingle, known)
                 sizes.append(len(own))
                 digests.append(_digest(own) if len(own) else None)
                 keys.append(_longs(_fragment_keys(own, percent)) if len(own) else None)
+                sketches.append(_sketch(own))
+            bits = np.array(sketches, np.int64).reshape(len(sizes), len(_BITS))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "n", "digest", "keys"],
+                [
+                    batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())),
+                    *[pa.array(column) for column in bits.T],
+                ],
+                names=["id", "n", "digest", "keys", *_BITS],
             )
 
     kind = docs.schema["id"].dataType.simpleString()
-    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, digest binary, keys array<bigint>")
+    return docs.select("id", "text").mapInArrow(run, f"id {kind}, n bigint, digest binary, keys array<bigint>, " + ", ".join(f"{c} bigint" for c in _BITS))
 
 
 def _segments(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -159,7 +195,7 @@ def _segments(docs: DataFrame, sets: DataFrame, shingle: int, percent: int) -> D
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known = Words()
         for batch in batches:
             texts = batch.column("text").cast(pa.binary())
             for at in range(0, len(texts), _ROWS):
@@ -230,19 +266,22 @@ def _level(node: str):
 def linked(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """Edges (node, root) from each set that links with others to its component's smallest.
 
-    ``sets`` are distinct: (node, n, digest, keys).
+    ``sets`` are distinct: (node, n, digest, keys, sketch).
     """
     keyed = sets.select("node", "n", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("sets")).where(F.col("sets") > 1).select("key")
-    live = staged(keyed.join(shared, "key").withColumn("level", _level("node")), "met")
+    met = staged(keyed.join(shared, "key"), "keys")
+    live = staged(met.join(sets.select("node", *_BITS), "node").withColumn("level", _level("node")), "met")
+    discard(met)
     asked = staged(live.select("node").distinct().join(sets.select("node", "digest"), "node"), "asked")
     segments = staged(_segments(docs, asked, shingle, percent), "segments")
     discard(asked)
     roots = sets.sparkSession.createDataFrame([], "node bigint, root bigint")
     tested: list[DataFrame] = []
+    left = live
     while True:
         # Who is linked already, and which groups still hold several components.
-        placed = live.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        placed = left.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         groups = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("level").alias("top"))
         groups = groups.where(F.col("low") < F.col("high")).select("key", "top")
         before, live = live, staged(placed.join(groups, "key"), "live")
@@ -250,12 +289,10 @@ def linked(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, shingle: in
         if live.isEmpty():
             discard(live, segments, *tested)
             return roots
-        centre = F.col("level") > F.col("top") - STEP
-        centres = live.where(centre).select("key", *[F.col(c).alias(f"c_{c}") for c in ("node", "n", "root")])
+        centre = F.col("level") > F.col("top") - STEP * (len(tested) + 1)
+        centres = live.where(centre).select("key", *[F.col(c).alias(f"c_{c}") for c in ("node", "n", "root", *_BITS)])
         met = live.join(centres, "key").where(
-            (F.col("root") != F.col("c_root"))
-            & (F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent)
-            & (~centre | (F.col("node") > F.col("c_node")))
+            (F.col("root") != F.col("c_root")) & _may_link(percent) & (~centre | (F.col("node") > F.col("c_node")))
         )
         first = F.col("node") < F.col("c_node")
         pairs = met.select(
@@ -268,11 +305,14 @@ def linked(docs: DataFrame, sets: DataFrame, percent: int = PERCENT, shingle: in
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
         pairs = staged(pairs, "pairs")
         tested.append(pairs)
-        found = _overlaps(pairs, segments).where(F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * percent)
-        older, roots = roots, components(found.select("a", "b").union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+        shared = F.col("shared") * 100 >= (F.col("na") + F.col("nb") - F.col("shared")) * percent
+        found = staged(_overlaps(pairs, segments).where(shared).select("a", "b"), "links")
+        if not found.isEmpty():
+            older, roots = roots, components(found.union(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
+            discard(older)
+        discard(found)
         # Centres have met all others of their groups: they leave them.
-        before, live = live, staged(live.where(~centre).select("node", "n", "key", "level"), "rest")
-        discard(before, older)
+        left = live.where(~centre).drop("root", "top")
 
 
 def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
@@ -281,7 +321,7 @@ def joined(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         raise ValueError(f"fragments are too small to tell sets apart below {LEAST_PERCENT} percent")
     docs = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
     prints = staged(_prints(docs, shingle, percent), "prints")
-    distinct = prints.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.min("id").alias("least"), F.first("keys").alias("keys"))
+    distinct = prints.where("n > 0").groupBy("digest").agg(F.first("n").alias("n"), F.min("id").alias("least"), F.first("keys").alias("keys"), *[F.first(c).alias(c) for c in _BITS])
     sets = staged(distinct.withColumn("node", F.monotonically_increasing_id()), "sets")
     roots = linked(docs, sets, percent, shingle)
     placed = sets.select("node", "digest", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
