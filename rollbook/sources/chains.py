@@ -82,8 +82,8 @@ def _distances(known: DataFrame, folder: str) -> DataFrame:
         moved = joined.select("page", F.col("further").alias("before"), (F.col("steps") + F.col("more")).alias("steps"))
         rounds += 1
         moved = materialize(moved, f"round{rounds}", folder)
-        # A page is done if it has reached a page that is its own predecessor.
-        firsts = moved.where("page = before").select(F.col("page").alias("before"))
+        # A page is done if it has reached a first page: its own predecessor, at 0 steps. (In a circle steps grow.)
+        firsts = moved.where("page = before and steps = 0").select(F.col("page").alias("before"))
         open_pages = moved.join(firsts, "before", "left_anti")
         if (1 << rounds) > total or open_pages.isEmpty():
             done = moved.join(firsts, "before", "left_semi")

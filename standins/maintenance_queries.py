@@ -3,23 +3,27 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.operators import checks, replace, synclog
 from rollbook.operators.joins import look_up
+from rollbook.plans import cascades
 from rollbook.plans.jobs import sync_requests
 from rollbook.plans.requests import plan_endpoints
 from rollbook.schemas.endpoints import ENDPOINTS
 from rollbook.schemas.tables import TABLES
 from rollbook.session import scratch_path
+from rollbook.sources.chains import numbered_chains
 from rollbook.sources.landing import chain_status, land, parse_pages, read_landing
 from rollbook.sources.warehouse import Warehouse, grade_types
 from rollbook.streaming.rolling import requests_of, rolling_sync
 from standins.catalogue import register
 from standins.pages import BLOCK, PAGE_SIZE, landing
 from standins.relations import RELATIONS, Standins
+from standins.stored import store
 
 
 
@@ -50,6 +54,44 @@ def _chain(t: Standins) -> DataFrame:
     return chain_status(parse_pages(pages, ENDPOINTS["departments"]))
 
 
+# Orders as pages that only know cursors: those of one priority are one request of very many pages, those of one
+# customer with a second one short requests. The lineitems' first shipping decides what is wrong with a request: of the
+# short ones some have lost their first page, hand on one cursor twice, or run in a circle.
+_CURSORS = """
+    select request_id, n, place, case when place>1 then lag(own) over (partition by request_id order by place) end cursor_in,
+      own cursor_out, place<pages has_more, pages, fault
+    from (select *, row_number() over (partition by request_id order by n) place,
+        count(*) over (partition by request_id) pages, n*7+3 own
+      from (select concat('long ',o_orderpriority) request_id, o_orderkey n, 'none' fault from {orders}
+        union all select concat('short ',cast(o_custkey as string)), o_orderkey,
+          case o_custkey%7 when 1 then 'gap' when 2 then 'fork' when 3 then 'circle' else 'none' end from {orders}))
+    """
+_FAULTY_CURSORS = f"""
+    select request_id, n, place, fault, pages,
+      case when fault='circle' and place=1 then pages_end else cursor_in end cursor_in,
+      case when fault='fork' and place=pages and pages>1 then first_out else cursor_out end cursor_out,
+      case when fault='fork' and place=pages and pages>1 then true when fault='circle' then true else has_more end has_more
+    from (select *, max(cursor_out) over (partition by request_id) pages_end,
+        min(cursor_out) over (partition by request_id) first_out from ({_CURSORS}))
+    where not (fault='gap' and place=1)
+    """
+
+
+def _cursor_chains(t: Standins) -> DataFrame:
+    pages = t.sql(_FAULTY_CURSORS).select("request_id", "n", "cursor_in", "cursor_out", "has_more")
+    return numbered_chains(pages).select("request_id", "n", "page_no", "chain_problem")
+
+
+register(
+    "page_chain_cursors",
+    _cursor_chains,
+    f"""
+    select request_id, n, case when fault='none' or (fault='fork' and pages=1) then cast(place as int) end page_no,
+      case when fault in ('gap','circle') then 'circle or gap' when fault='fork' and pages>1 then 'fork' end chain_problem
+    from ({_FAULTY_CURSORS})
+    """,
+)
+
 register(
     "page_chain_status",
     _chain,
@@ -326,6 +368,43 @@ register(
     from {{MarkslotMarks}} where {_BELOW_SUBJECTS["MarkslotMarks"]}""",
 )
 
+# Students who leave a stored warehouse; what hangs on them goes from its slices, all others are left alone.
+_GONE_STUDENTS = "select StudentId from {Students} where Academy='A1' and DataSet='2020' and MiddleNames is null"
+_BELOW_STUDENTS = ("Students", *[n for n in RELATIONS if n in TABLES and any(p.table == "Students" for p in TABLES[n].parents)])
+
+
+def _stored_cascade(t: Standins) -> Warehouse:
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    store(warehouse, t, _BELOW_STUDENTS)
+    cascades.delete_stored(warehouse, "Students", warehouse.read("Students").where(_GONE_STUDENTS.split("where ")[1]))
+    return warehouse
+
+
+def _stored_counts(t: Standins) -> DataFrame:
+    warehouse = _stored_cascade(t)
+    counts = [
+        warehouse.read(name).groupBy("Academy", "DataSet").agg(F.count("*").alias("rows")).withColumn("table_name", F.lit(name))
+        for name in _BELOW_STUDENTS
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+register(
+    "cascade_stored_students",
+    _stored_counts,
+    " union all ".join(
+        f"select '{n}' table_name, Academy, DataSet, count(*) as rows from {{{n}}} "
+        f"where StudentId is null or StudentId not in ({_GONE_STUDENTS}) group by Academy, DataSet"
+        for n in _BELOW_STUDENTS
+    ),
+)
+register(
+    "cascade_stored_students__Grades",
+    lambda t: _stored_cascade(t).read("Grades"),
+    f"""select GradeTypeId, SubjectId, StudentId, Name, Alias, DataSet, Academy, NCYear from {{Grades}}
+    where StudentId not in ({_GONE_STUDENTS})""",
+)
+
 # --- checks -----------------------------------------------------------------------------------------------------
 
 for _table in ("StudentSessionMarks", "MarkslotMarks", "Grades"):

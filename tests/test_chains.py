@@ -52,6 +52,8 @@ def test_faults_stay_with_their_request(spark, interpreted):
     good = chain("good", [5, 6, 7])
     gap = [r for r in chain("gap", [1, 2, 3, 4, 5]) if r[4] != 3]
     circle = [("circle", 1, 2, True, 1, ""), ("circle", 2, 3, True, 2, ""), ("circle", 3, 1, True, 3, "")]
+    for size in (1, 2, 4, 8):
+        circle += [(f"circle{size}", k or size, k + 1, True, k, "") for k in range(size)]
     fork = [*chain("fork", [1, 2, 3]), ("fork", 2, 9, True, 3, "")]
     meet = [*chain("meet", [1, 2, 3]), ("meet", 7, 2, True, 9, "")]
     two = [*chain("two", [1, 2]), ("two", None, None, False, 1, "")]
@@ -65,6 +67,8 @@ def test_faults_stay_with_their_request(spark, interpreted):
     assert sorted(problems["good"]) == [(1, 1, None), (2, 2, None), (3, 3, None)]
     assert sorted(problems["gap"]) == [(1, 1, None), (2, 2, None), (4, None, lost), (5, None, lost)]
     assert sorted(problems["circle"]) == [(k, None, lost) for k in (1, 2, 3)]
+    for size in (1, 2, 4, 8):
+        assert sorted(problems[f"circle{size}"]) == [(k, None, lost) for k in range(size)]
     assert {p for _, n, p in problems["fork"]} == {"fork"} == {p for _, n, p in problems["meet"]}
     assert {(n, p) for _, n, p in problems["two"]} == {(None, "several first pages")}
     assert sorted(problems["stray"]) == [(1, 1, None), (2, 2, None), (3, None, lost)]
