@@ -30,6 +30,7 @@ def _on(build: Query) -> Callable[[SparkSession, str], DataFrame]:
 # The modules below fill the catalogue.
 from standins import (  # noqa: E402, F401
     ingest_queries,
+    job_queries,
     lookup_queries,
     maintenance_queries,
     report_queries,
