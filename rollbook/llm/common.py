@@ -45,6 +45,12 @@ def discard(*frames: DataFrame) -> None:
             remove(df.sparkSession, path.rsplit("/", 1)[0])
 
 
+def lower_az(text: Column) -> Column:
+    """``text`` with A-Z lowered and nothing else; texts of ASCII alone take the quick way."""
+    capitals = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, capitals, capitals.lower()))
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     """The words of a text in UTF-8; null and empty texts have none."""
     return text.translate(WORD_BYTES).split() if text else []

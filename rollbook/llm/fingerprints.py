@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import constant_array, small_table
+from rollbook.llm.common import constant_array, lower_az, small_table
 
 SHINGLE = 5
 K = 64
@@ -30,7 +30,7 @@ def smallest(hashes: Column, k: int = K) -> Column:
 
 
 def words(text: Column) -> Column:
-    lowered = F.lower(F.coalesce(text, F.lit("")))
+    lowered = lower_az(F.coalesce(text, F.lit("")))
     return F.filter(F.split(lowered, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
@@ -104,29 +104,47 @@ def _bucket(id: str, cuts: list[int]) -> Column:
     return F.coalesce(F.aggregate(steps, F.lit(0), down), F.lit(0))
 
 
-def with_next(docs: DataFrame, doc_id: str, shingle: int, k: int, each: int = 1000, most: int = 50_000) -> DataFrame:
-    """(id, text, sketch, next_text, next_sketch): the next document's by ascending id, and after the last the first's.
+def cut_by_id(docs: DataFrame, doc_id: str, each: int = 1000, most: int = 50_000) -> DataFrame:
+    """``docs`` with ``__bucket`` and ``__tie``: buckets of about ``each`` rows (larger beyond ``most`` buckets) in the order of
+    (id, tie), null ids first. ``__tie`` is a hash of the text.
 
-    Ids are cut at percentiles into buckets of about ``each`` rows (larger beyond ``most`` buckets), which are ordered
-    side by side. Only the first row of every bucket is passed on to the bucket before it.
+    Ids are cut at percentiles. An id that is cut at several times has rows for several buckets, and so may have null:
+    their rows are told apart by the tie. Only repeated rows, of one id and text, stay together.
     """
     ids = docs.agg(F.count("*").alias("n"), F.count(doc_id).alias("known")).first()
     buckets = min(most, ids["n"] // each)
-    cuts: list[int] = []
+    found: list[int] = []
     if buckets > 1 and ids["known"]:
         shares = constant_array([b / buckets for b in range(1, buckets)], "double")
-        cuts = sorted(set(docs.agg(F.percentile_approx(doc_id, shares, F.lit(10 * buckets))).first()[0]))
-    cut = docs.withColumns({"__bucket": _bucket(doc_id, cuts), "__tie": F.xxhash64("text")})
+        found = docs.agg(F.percentile_approx(doc_id, shares, F.lit(10 * buckets))).first()[0]
+    cuts = sorted(set(found))
+    times = constant_array([1, *[found.count(c) for c in cuts]])
+    unknown = min(most, max(1, (ids["n"] - ids["known"]) // each))
+    bucket, tie = _bucket(doc_id, cuts), F.xxhash64("text")
+    start = F.element_at(constant_array([0, *cuts]), bucket + 1)
+    n = F.when(bucket == 0, F.lit(unknown)).otherwise(F.element_at(times, bucket + 1))
+    hot = F.when(bucket == 0, F.col(doc_id).isNull()).otherwise(F.col(doc_id) == start)
+    share = F.least(F.floor((tie / F.lit(2.0**64) + 0.5) * n), n - 1)
+    part = F.when(n == 1, F.lit(0)).when(hot, share).otherwise(n)
+    return docs.withColumns({"__bucket": (bucket * F.lit(1 << 32) + part).cast("bigint"), "__tie": tie})
+
+
+def with_next(docs: DataFrame, doc_id: str, shingle: int, k: int, each: int = 1000, most: int = 50_000) -> DataFrame:
+    """(id, text, sketch, next_text, next_sketch): the next document's by ascending id, and after the last the first's.
+
+    Buckets of ids are ordered side by side. Only the first row of every bucket is passed on to the bucket before it.
+    """
+    cut = cut_by_id(docs, doc_id, each, most)
     own = Window.partitionBy("__bucket").orderBy(F.col(doc_id).asc_nulls_first(), "__tie")
     rows = with_sketch(cut, "text", "sketch", shingle, k).withColumns(
         {"next_text": F.lead("text").over(own), "next_sketch": F.lead("sketch").over(own), "__last": F.lead(F.lit(1)).over(own).isNull()}
     )
     least = F.struct(F.coalesce(F.col(doc_id), F.lit(-(1 << 63))), "__tie")
     firsts = with_sketch(cut.groupBy("__bucket").agg(F.min_by("text", least).alias("__text")), "__text", "__sketch", shingle, k)
-    # The buckets that hold rows, at most ``most``: each passes its first row to the one before, the first to the last.
+    # The buckets that hold rows, of a bounded number: each passes its first row to the one before, the first to the last.
     present = sorted(r[0] for r in cut.select("__bucket").distinct().collect())
     pairs = [{"__bucket": b, "__for": present[at - 1]} for at, b in enumerate(present)]
-    before = small_table(docs.sparkSession, pairs, "__bucket: int, __for: int")
+    before = small_table(docs.sparkSession, pairs, "__bucket: bigint, __for: bigint")
     passed = firsts.join(before, "__bucket").select(F.col("__for").alias("__bucket"), "__text", "__sketch", F.lit(True).alias("__last"))
     joined = rows.join(passed, ["__bucket", "__last"], "left")
     last = F.col("__last")

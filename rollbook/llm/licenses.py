@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import WORD, small_table
+from rollbook.llm.common import WORD, lower_az, small_table
 
 
 @dataclass(frozen=True)
@@ -81,7 +81,7 @@ TEMPLATES = (*PHRASES, *NOTICES)
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.regexp_extract_all(lower_az(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
 def word_order(docs: DataFrame, text: str, templates: Sequence[Template]) -> dict[str, int]:
