@@ -7,7 +7,7 @@ exception, so one bad request never stops another.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime
 from functools import reduce
@@ -26,6 +26,7 @@ from rollbook.schemas.endpoints import AREAS, ENDPOINTS, Endpoint
 from rollbook.schemas.tables import TABLES
 from rollbook.session import materialize, remove, scratch_path
 from rollbook.sources.chains import numbered_chains
+from rollbook.sources.journal import Journal
 from rollbook.sources.landing import asked_pages, chain_status, newest_fetches, pages_of_days, parse_pages, records_of
 from rollbook.sources.warehouse import Replacement, Warehouse
 
@@ -90,13 +91,15 @@ def sync_requests(
     does not come back with its slice go with it; endpoints then take turns. Without ``page_numbers`` the pages are put
     in order by their cursors.
 
-    The log is kept per ``run``: the same run made again replaces its log rows. An endpoint whose job breaks off
+    A named ``run`` keeps a journal of the endpoints that are done. Made again after it died, it goes on with the
+    others; made again after it ended, it replaces its log rows. An endpoint whose job breaks off
     fails its own requests, with the error in the log; all others are stored and logged.
     """
     # Plan and fetches hold one short row per request. Written out, their size is known when the joins with the
     # pages are planned, so the page texts are not shuffled unless there really are too many requests to broadcast.
     folder = scratch_path(warehouse.spark, "sync")
     warehouse.recover()
+    journal = Journal(warehouse.spark, warehouse.root, run) if run else None
     try:
         plan = materialize(plan, "plan", folder)
         pages = asked_pages(pages, plan, landed_since)
@@ -110,16 +113,27 @@ def sync_requests(
                 lanes.setdefault("" if cascade else endpoint.tables[0], []).append(endpoint)
             with ThreadPoolExecutor(parallel) as pool:
                 made = pool.map(
-                    lambda lane: [_isolated(warehouse, pages, plan, fetches, e, folder, cascade, page_numbers) for e in lane],
+                    lambda lane: [_journaled(journal, e, lambda e=e: _isolated(
+                        warehouse, pages, plan, fetches, e, folder, cascade, page_numbers)) for e in lane],
                     lanes.values(),
                 )
                 outcomes += [outcome for lane in made for outcome in lane]
         log = log_rows(reduce(DataFrame.unionByName, outcomes), logged_at)
-        return warehouse.write_log(log, run or uuid4().hex)
+        written = warehouse.write_log(log, run or uuid4().hex)
+        if journal:
+            journal.close()
+        return written
     finally:
         remove(warehouse.spark, folder)
 
 
+def _journaled(journal: Journal | None, endpoint: Endpoint, make: Callable[[], DataFrame]) -> DataFrame:
+    """The endpoint's outcome: as the journal holds it, or made now and entered."""
+    if journal is None:
+        return make()
+    return journal.outcome(endpoint.name) or journal.enter(endpoint.name, make())
+
+
 def _isolated(
     warehouse: Warehouse, pages: DataFrame, plan: DataFrame, fetches: DataFrame, endpoint: Endpoint, folder: str,
     cascade: bool, page_numbers: bool,
