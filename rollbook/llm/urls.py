@@ -8,7 +8,8 @@ that it does not pass is an odd one (or, where it passes them all, if the number
 
 The levels are arrays of 64-bit words and go into the plan as constants: probing is arithmetic on columns. Building
 works on the distinct keys of the corpus, of which only those in doubt are carried on. ``MAX_LISTED`` bounds a list and
-so the size of its levels; a longer list is refused, never cut.
+so the size of its levels; a longer list is refused, never cut. The universe may be of any size: a level that so many keys
+of it pass wrongly that the next one would exceed that bound is made anew with twice the bits, up to ``MAX_BITS``.
 
 Defined cases: a null url, or one without ``://``, has an empty host and an empty path and fits no rule. An empty host
 fits none either. Repeated rows get one result each. Empty tables give empty results. Other columns are kept; one with
@@ -28,6 +29,7 @@ from rollbook.llm.common import constant_array, discard, free_of, small_table, s
 
 MAX_LISTED = 1_000_000  # keys of one list: with 12 bits a key at most 1.5 MB in a plan
 BITS_PER_KEY = 12
+MAX_BITS = 1 << 27  # of one level: 16 MB
 PROBES = 4
 MAX_LEVELS = 24
 
@@ -92,9 +94,8 @@ def _positions(key: Column, number: int, bits: int) -> list[Column]:
     return [F.pmod(first.bitwiseAND(F.lit(mask)) + F.lit(k) * step.bitwiseAND(F.lit(mask)), F.lit(bits)) for k in range(PROBES)]
 
 
-def _level(keys: DataFrame, count: int, number: int) -> Level:
+def _level(keys: DataFrame, number: int, bits: int) -> Level:
     """The filter of some distinct keys: bits are or-ed per 64-bit word by Spark; the words are at most bits / 64."""
-    bits = 64 * max(1, -(-count * BITS_PER_KEY // 64))
     set_bits = keys.select(F.explode(F.array(*_positions(F.col("key"), number, bits))).alias("at"))
     words = set_bits.groupBy((F.col("at") / 64).cast("int").alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("at", F.lit(64)).cast("int"))).alias("value")
@@ -105,25 +106,36 @@ def _level(keys: DataFrame, count: int, number: int) -> Level:
     return Level(bits, held)
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame) -> Cascade:
+def _narrow_level(keys: DataFrame, count: int, others: DataFrame, number: int, most: int) -> tuple[Level, DataFrame, int]:
+    """A filter of ``keys`` that at most ``most`` of the ``others`` pass, these others, and their number."""
+    bits = 64 * max(1, -(-count * BITS_PER_KEY // 64))
+    while True:
+        level = _level(keys, number, bits)
+        passing = staged(others.where(level.passes(F.col("key"), number)), f"doubt{number}")
+        if (wrongly := passing.count()) <= most:
+            return level, passing, wrongly
+        if bits >= MAX_BITS:
+            raise ValueError(f"{wrongly} keys pass level {number} of {bits} bits wrongly; the next holds {most}")
+        discard(passing)
+        bits = min(2 * bits, MAX_BITS)
+
+
+def build_cascade(listed: DataFrame, universe: DataFrame, most: int = MAX_LISTED) -> Cascade:
     """The cascade of the distinct ``key`` of ``listed`` over those of ``universe``; both are read whole."""
     listed = listed.select("key").where(F.col("key").isNotNull()).distinct()
     count = listed.count()
-    if count > MAX_LISTED:
-        raise ValueError(f"{count} listed keys; one cascade holds {MAX_LISTED}: split the list")
+    if count > most:
+        raise ValueError(f"{count} listed keys; one cascade holds {most}: split the list")
     if count == 0:
         return Cascade(())
-    levels = [_level(listed, count, 0)]
-    inside = listed
-    outside = staged(universe.where(levels[0].passes(F.col("key"), 0)).join(listed, "key", "left_anti"), "doubt0")
-    while (count := outside.count()) > 0:
-        number = len(levels)
-        if number == MAX_LEVELS or count > MAX_LISTED:
-            raise ValueError(f"level {number} would hold {count} keys; give more bits a key")
-        levels.append(_level(outside, count, number))
-        passing = staged(inside.where(levels[-1].passes(F.col("key"), number)), f"doubt{number}")
-        discard(inside)
-        inside, outside = outside, passing
+    levels, inside, outside = [], listed, universe.join(listed, "key", "left_anti")
+    while count > 0:
+        if len(levels) == MAX_LEVELS:
+            raise ValueError(f"{count} keys are left after {MAX_LEVELS} levels")
+        level, passing, count = _narrow_level(inside, count, outside, len(levels), most)
+        levels.append(level)
+        discard(outside)
+        inside, outside = passing, inside
     discard(inside, outside)
     return Cascade(tuple(levels))
 

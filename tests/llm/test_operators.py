@@ -93,10 +93,17 @@ def test_cascade_is_exact_with_few_bits(spark, monkeypatch):
     monkeypatch.setattr(urls, "PROBES", 1)
     universe = spark.range(3000).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("key"))
     listed = universe.where(F.pmod(F.xxhash64("key"), F.lit(7)) == 0).union(spark.createDataFrame([("elsewhere",)], "key string"))
-    cascade = urls.build_cascade(listed, universe)
-    assert len(cascade.levels) > 2
-    wrong = universe.join(listed.withColumn("known", F.lit(True)), "key", "left").where(cascade.holds(F.col("key")) != F.coalesce("known", F.lit(False)))
-    assert wrong.count() == 0
+    known = universe.join(listed.withColumn("known", F.lit(True)), "key", "left")
+    plain, bound = urls.build_cascade(listed, universe), urls.build_cascade(listed, universe, most=460)
+    # Where too many keys would pass wrongly, a level has more bits.
+    assert len(plain.levels) > 2 and bound.levels[0].bits > plain.levels[0].bits
+    for cascade in (plain, bound):
+        assert known.where(cascade.holds(F.col("key")) != F.coalesce("known", F.lit(False))).count() == 0
+    with pytest.raises(ValueError, match="listed keys"):
+        urls.build_cascade(listed, universe, most=100)
+    monkeypatch.setattr(urls, "MAX_BITS", 64)
+    with pytest.raises(ValueError, match="wrongly"):
+        urls.build_cascade(listed, universe, most=460)
     assert urls.build_cascade(listed.limit(0), universe).levels == ()
 
 
