@@ -50,10 +50,10 @@ class Commit:
         self.folder = f"{root}/{FOLDER}/{number or uuid.uuid4().hex}"
         self.parts: list[Part] = []
 
-    def stage(self, target: str, rows: DataFrame, by: Sequence[str], order: Sequence[str], emptied: Iterable[str] = ()) -> None:
+    def stage(self, target: str, rows: DataFrame, by: Sequence[str], order: Sequence[str], emptied: Iterable[str] = ()) -> Part:
         """``rows`` become the whole content of the slices they fall into; ``emptied`` slices lose theirs.
 
-        ``target`` is the table's folder below the root. The rows are rebalanced by slice: AQE joins small slices into
+        What is emptied may still be told to the part returned, until the commit is published. ``target`` is the table's folder below the root. The rows are rebalanced by slice: AQE joins small slices into
         one file each and splits a slice that is too large for one task.
         """
         if any(part.target == target for part in self.parts):
@@ -66,6 +66,7 @@ class Commit:
             .parquet(staged)
         )
         self.parts.append(Part(target, staged, len(by), sorted(set(emptied))))
+        return self.parts[-1]
 
     def publish(self) -> None:
         """Records what is staged, then puts it in its place."""

@@ -106,15 +106,17 @@ class Replacement:
         ``empty`` names the slices without rows where the caller knows them; else they are looked up.
         """
         spec = TABLES[table]
-        rows = project(rows, table)
+        part = self._made.stage(table, project(rows, table), spec.slice, [k for k in spec.key if k not in spec.slice])
+        # What else there is to know of the rows is read from where they are staged, a few columns each.
+        staged = self.warehouse.spark.read.schema(spec.storage_schema).parquet(part.staged)
         if table in INDEXED:
-            self.warehouse.ids(table).add(rows)
+            self.warehouse.ids(table).add(staged)
         if empty is None:
-            empty = slices.join(rows.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
+            empty = slices.join(staged.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
         # One short row per slice that was asked for and came back empty: bounded by the request plan, and
         # fetched a partition at a time.
-        emptied = [slice_folder(spec.slice, row) for row in empty.select(*spec.slice).distinct().toLocalIterator()]
-        self._made.stage(table, rows, spec.slice, [k for k in spec.key if k not in spec.slice], emptied)
+        found = empty.select(*spec.slice).distinct().toLocalIterator()
+        part.emptied = sorted(slice_folder(spec.slice, row) for row in found)
 
     def replace_by_id(
         self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,
