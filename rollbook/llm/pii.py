@@ -15,7 +15,8 @@ at most ``len(KINDS) * 3 ** 4 * 3 ** 2`` rows, however large the corpus. Spans t
 those that pass the strict rules of the base kinds stay in any case.
 
 Everything runs in built-in column functions. The patterns start only where a match can start, so they are linear in
-the length of a text, and use possessive groups, so that no length of text exhausts the stack.
+the length of a text, and use possessive groups, so that no length of text exhausts the stack. Places are running sums
+taken block by block, so a text's work grows with its spans, not with their square.
 
 Defined cases: null and empty texts have no span. Repeated rows get a result each. Empty tables give empty results and
 the prior model. Other columns are kept; one with the name of an output is replaced by it. Places count code points.
@@ -24,6 +25,7 @@ the prior model. Other columns are kept; one with the name of an output is repla
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -55,31 +57,60 @@ CONTEXT_FOR = {
 CONTEXT_AGAINST = r"version|\bv$|release|isbn|issn|order|serial|section|figure|chapter|article|example of"
 SURROUNDING = 24  # characters of context
 THRESHOLD = 0.5
+BLOCK = 128  # spans of a text that are placed together
 _SPAN = "struct<kind:string,start:int,end:int,value:string,before:string>"
 _VOTES = ("regex", "gazetteer", "context", "shape")
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _blocks(values: Column) -> Column:
+    """The array cut into arrays of ``BLOCK`` entries."""
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.size(values), F.lit(1)), F.lit(BLOCK)), lambda at: at <= F.size(values))
+    return F.transform(starts, lambda at: F.slice(values, at, BLOCK))
+
+
+def _running(values: Column, merge: Callable[[Column, Column], Column], start: Column) -> Column:
+    """``start``, then what has been merged after each entry. Copies the array once an entry: for short ones."""
+    return F.aggregate(values, F.array(start), lambda done, v: F.concat(done, F.array(merge(F.element_at(done, -1), v))))
+
+
+def _before(values: Column, merge: Callable[[Column, Column], Column]) -> Column:
+    """For each of many whole numbers what the ones before it merge to, from 0: block by block, so that the work grows
+    with the entries and not with their square."""
+
+    def within(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), merge))
+        return F.flatten(F.zip_with(blocks, F.slice(_running(totals, merge, F.lit(0)), 1, F.size(blocks)), lambda b, at: F.slice(_running(b, merge, at), 1, F.size(b))))
+
+    return _let(values, lambda v: _let(_blocks(v), within))
+
+
 def _found(text: Column, kind: str) -> Column:
     """All matches of a kind with their places, from the matches and the pieces of text between them."""
     pattern = PATTERNS[kind]
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
     pairs = F.filter(F.arrays_zip(pieces.alias("p"), values.alias("v")), lambda x: x["v"].isNotNull())
-    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["p"])
-        end = start + F.length(pair["v"])
-        span = F.struct(
+    def span(pair: Column, at: Column) -> Column:
+        start = at + F.length(pair["p"])
+        return F.struct(
             F.lit(kind).alias("kind"),
             start.alias("start"),
-            end.alias("end"),
+            (start + F.length(pair["v"])).alias("end"),
             pair["v"].alias("value"),
             F.substring(pair["p"], F.lit(-SURROUNDING), F.lit(SURROUNDING)).alias("before"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span.cast(_SPAN))).alias("spans"))
 
-    return F.when(text.rlike(NEEDS[kind]), F.aggregate(pairs, none, step, lambda s: s["spans"])).otherwise(F.array().cast(f"array<{_SPAN}>"))
+    def placed(found: Column) -> Column:
+        lengths = F.transform(found, lambda x: F.length(x["p"]) + F.length(x["v"]))
+        return F.zip_with(found, _before(lengths, lambda a, b: a + b), span).cast(f"array<{_SPAN}>")
+
+    return F.when(text.rlike(NEEDS[kind]), _let(pairs, placed)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
 
 def _digits(value: Column) -> Column:
@@ -224,17 +255,22 @@ def with_spans(found: DataFrame, candidates: str, model: Model, out: str) -> Dat
 def masked(text: Column, spans: Column) -> Column:
     """The text with every span replaced by its kind in angle brackets; overlapping spans become one."""
     order = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        more = F.array(gap, F.concat(F.lit("<"), F.upper(s["kind"]), F.lit(">")))
-        return F.when(s["start"] < state["at"], F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["parts"].alias("parts"))).otherwise(
-            F.struct(s["end"].alias("at"), F.concat(state["parts"], more).alias("parts"))
-        )
 
-    end = lambda state: F.concat(F.array_join(state["parts"], ""), F.substring(text, state["at"] + 1, F.length(text)))
-    return F.when(F.size(spans) > 0, F.aggregate(order, none, step, end)).otherwise(text)
+    def part(block: Column) -> Column:
+        """What comes of a block of spans and the text before each; a span that begins before ``at`` is part of one before."""
+        first = block[0]["at"]
+        own = F.substring(text, first + 1, F.greatest(F.element_at(block, -1)["s"]["start"] - first, F.lit(0)))
+        shown = lambda t, x: F.concat(F.substring(t, x["at"] - first + 1, x["s"]["start"] - x["at"]), F.lit("<"), F.upper(x["s"]["kind"]), F.lit(">"))
+        return _let(own, lambda t: F.array_join(F.transform(block, lambda x: F.when(x["s"]["start"] >= x["at"], shown(t, x)).otherwise("")), ""))
+
+    def whole(sorted_spans: Column) -> Column:
+        ends = _before(F.transform(sorted_spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+        placed = F.zip_with(sorted_spans, ends, lambda s, at: F.struct(s.alias("s"), at.alias("at")))
+        last = F.array_max(F.transform(sorted_spans, lambda s: s["end"]))
+        parts = _let(placed, lambda p: F.array_join(F.transform(_blocks(p), part), ""))
+        return F.concat(parts, F.substring(text, last + 1, F.length(text)))
+
+    return F.when(F.size(spans) > 0, _let(order, whole)).otherwise(text)
 
 
 def detect(docs: DataFrame, text: str = "text", out: str = "spans", model: Model | None = None) -> DataFrame:
