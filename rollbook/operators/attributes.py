@@ -125,7 +125,11 @@ def _pick(named: DataFrame, pick: Column) -> DataFrame:
 
 
 def _sole(named: DataFrame, strict: bool) -> DataFrame:
-    found = named.groupBy(*OWNER).agg(F.max("Value").alias("Value"), F.count("*").alias("Matches"))
+    return pick_sole(named.groupBy(*OWNER).agg(F.max("Value").alias("Value"), F.count("*").alias("Matches")), strict)
+
+
+def pick_sole(found: DataFrame, strict: bool) -> DataFrame:
+    """``found`` as it is, or, if ``strict``, failing where an owner has several values."""
     if strict:
         clash = F.raise_error(F.concat(F.lit("several values for "), F.concat_ws(" / ", *OWNER))).cast("string")
         found = found.withColumn("Value", F.when(F.col("Matches") > 1, clash).otherwise(F.col("Value")))

@@ -13,6 +13,8 @@ from rollbook.schemas.tables import GRADE_TYPES, TABLES
 from rollbook.session import file_system, materialize
 from rollbook.sources.commits import Commit, recover, slice_folder
 from rollbook.sources.idindex import INDEXED, IdIndex
+from rollbook.sources.lookups import TABLE as LOOKED_UP
+from rollbook.sources.lookups import LookUps
 
 
 class Warehouse:
@@ -58,6 +60,13 @@ class Warehouse:
             index.rebuild(self.read(table))
         return index
 
+    def lookups(self) -> LookUps:
+        """The kept partial look-ups over the attribute values, made from the stored rows if there are none yet."""
+        found = LookUps(self.spark, self.root)
+        if not found.kept():
+            found.build(self.read(LOOKED_UP))
+        return found
+
     def recover(self) -> list[str]:
         """Finishes or undoes what a job that died has left. To be called while no other job writes."""
         return recover(self.spark, self.root)
@@ -111,12 +120,17 @@ class Replacement:
         staged = self.warehouse.spark.read.schema(spec.storage_schema).parquet(part.staged)
         if table in INDEXED:
             self.warehouse.ids(table).add(staged)
+        parts = [part]
+        if table == LOOKED_UP and (kept := LookUps(self.warehouse.spark, self.warehouse.root)).kept():
+            parts.append(kept.stage(self._made, staged))
         if empty is None:
             empty = slices.join(staged.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
         # One short row per slice that was asked for and came back empty: bounded by the request plan, and
         # fetched a partition at a time.
         found = empty.select(*spec.slice).distinct().toLocalIterator()
-        part.emptied = sorted(slice_folder(spec.slice, row) for row in found)
+        emptied = sorted(slice_folder(spec.slice, row) for row in found)
+        for each in parts:
+            each.emptied = emptied
 
     def replace_by_id(
         self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,

@@ -1,8 +1,15 @@
 """Attribute look-ups for every student and every attribute name."""
 
+from functools import reduce
+
+from pyspark.sql import functions as F
+
 from rollbook.operators import attributes as a
 from rollbook.plans.reports import attribute_look_ups
+from rollbook.session import scratch_path
+from rollbook.sources.warehouse import Warehouse
 from standins.catalogue import register
+from standins.stored import store
 
 _NAMED = """
     select v.StudentId, t.Academy, t.DataSet, t.AttributeName, v.Value, v.AcademicYear, v.Date
@@ -103,3 +110,39 @@ register(
     from {{Students}} s
     """.replace("from latest x", f"from ({_LATEST}) x"),
 )
+
+
+# The values are stored and reduced; then the slices of one academy are replaced (other values, fewer rows) and those
+# of another are emptied.
+_AGAIN = "select AttributeTypeId, StudentId, Value||'*' as Value, AcademicYear, Date, Academy, DataSet, AttributeGroup from {AttributeValues} where Academy='A1' and AcademicYear is not null"
+_LOOK_UP_NAMES = {"v_AttributeValueLatest": "latest", "v_AttributeValueEarliest": "earliest", "v_AttributeValueAcademicYear": "year", "v_AttributeValueNoTimeStamp": "none"}
+
+
+def _kept_look_ups(t):
+    """All look-ups, merged from what is kept by slice after slices have been replaced and emptied."""
+    warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
+    store(warehouse, t, ["AttributeTypes", "AttributeValues"])
+    warehouse.lookups()
+    replaced = t["AttributeValues"].where("Academy in ('A1','A2')").select("Academy", "DataSet", "AttributeGroup").distinct()
+    warehouse.replace_slices("AttributeValues", t.sql(_AGAIN), replaced)
+    views = warehouse.lookups().views(warehouse.read("AttributeTypes"))
+    shown = [views[v].withColumn("look_up", F.lit(name)) for v, name in _LOOK_UP_NAMES.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), shown)
+
+
+_KEPT = f"(select StudentId, AttributeTypeId, Value, AcademicYear, Date from {{AttributeValues}} where Academy not in ('A1','A2') union all select StudentId, AttributeTypeId, Value, AcademicYear, Date from ({_AGAIN}))"
+_OWN = f"select v.StudentId, t.Academy, t.DataSet, t.AttributeName, v.Value, v.AcademicYear, v.Date from {{AttributeTypes}} t join {_KEPT} v on v.AttributeTypeId=t.AttributeTypeId"
+_FIRST_OF = f"select {_OWNER}, Value, '{{0}}' look_up, cast(null as string) AcademicYear, cast(null as bigint) Matches from (select *, row_number() over (partition by {_OWNER} order by {{1}}) rn from own) where rn=1"
+register(
+    "attr_look_ups_kept",
+    _kept_look_ups,
+    f"""
+    with own as ({_OWN})
+    {_FIRST_OF.format("latest", "Date desc nulls last, AcademicYear desc nulls last, Value desc nulls last")}
+    union all {_FIRST_OF.format("earliest", "Date asc nulls first, AcademicYear asc nulls first, Value asc nulls first")}
+    union all select {_OWNER}, max(Value), 'year', AcademicYear, count(*) from own
+      where AcademicYear is not null and Date is null group by {_OWNER}, AcademicYear
+    union all select {_OWNER}, max(Value), 'none', null, count(*) from own
+      where AcademicYear is null and Date is null group by {_OWNER}
+    """,
+)
