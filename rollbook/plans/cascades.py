@@ -19,6 +19,7 @@ from rollbook.session import materialize, remove, scratch_path
 from rollbook.sources.warehouse import Replacement, Warehouse
 
 _WITHIN = ("Academy", "DataSet")
+_MAX_PLACES = 200  # academies and years named one by one in a scan; of more, all are read
 
 
 def delete_stored(warehouse: Warehouse, table: str, keys: DataFrame, same_slice: bool = False) -> dict[str, int]:
@@ -67,28 +68,27 @@ def stage_cascade(
             columns = dict.fromkeys([*spec.slice, *([own] if own else [])])
             found.append(rows.join(keys, column, "left_semi").select(*columns))
         hit = materialize(reduce(DataFrame.unionByName, found).distinct(), f"{name}-hit", folder)
-        # One short row per slice that loses rows.
-        touched = list(hit.select(*spec.slice).distinct().toLocalIterator())
-        if not touched:
+        touched = materialize(hit.select(*spec.slice).distinct(), f"{name}-touched", folder)
+        if not (number := touched.count()):
             continue
         left = warehouse.read_slices(name, touched)
         for column, keys, _ in lost:
             left = left.join(keys.toDF(column), column, "left_anti")
-        by = T.StructType([spec.storage_schema[c] for c in spec.slice])
-        made.replace_slices(name, left, warehouse.spark.createDataFrame([tuple(r) for r in touched], by))
-        written[name] = len(touched)
+        made.replace_slices(name, left, touched)
+        written[name] = number
         if own:
             gone[name] = hit.select(own).where(F.col(own).isNotNull()).distinct()
             # A key that names its academy and year is only referred to from there.
             named = isinstance(spec.storage_schema[own].dataType, T.StringType) and all(c in spec.slice for c in _WITHIN)
-            within[name] = {tuple(r[c] for c in _WITHIN) for r in touched} if named else None
+            places = touched.select(*_WITHIN).distinct().limit(_MAX_PLACES + 1).collect() if named else []
+            within[name] = {tuple(r) for r in places} if 0 < len(places) <= _MAX_PLACES else None
     return written
 
 
 def keys_that_go(warehouse: Warehouse, table: str, rows: DataFrame, slices: DataFrame) -> DataFrame:
     """Keys stored in the slices that the new rows don't bring back."""
     key = TABLES[table].key[0]
-    stored = warehouse.read_slices(table, slices.select(*TABLES[table].slice).distinct().toLocalIterator())
+    stored = warehouse.read_slices(table, slices)
     return stored.select(key).distinct().join(rows.select(key), key, "left_anti")
 
 

@@ -1,7 +1,7 @@
 """Warehouse tables: columns with their length limits, keys, slices and parents.
 
 A *slice* is what one request replaces; its columns are the table's storage partitions, so that replacing
-a slice touches no other files. Child tables whose own columns do not name their slice carry the slice
+a slice touches no other files (of very many slices, several share a folder: ``sources.layout``). Child tables whose own columns do not name their slice carry the slice
 columns in storage as well.
 """
 

@@ -94,15 +94,28 @@ def finish(spark: SparkSession, root: str, folder: str, parts: Sequence[Part]) -
     """Renames every slice that is still staged and removes the emptied ones. Can be done again at any point."""
     with ThreadPoolExecutor(_RENAMES) as pool:
         for part in parts:
-            below = _leaves(spark, part.staged, part.depth)
+            below = _movable(spark, part.staged, f"{root}/{part.target}", part.depth)
             list(pool.map(lambda leaf, p=part: _put(spark, f"{p.staged}/{leaf}", f"{root}/{p.target}/{leaf}"), below))
             list(pool.map(lambda leaf, p=part: remove(spark, f"{root}/{p.target}/{leaf}"), part.emptied))
 
 
+def _movable(spark: SparkSession, staged: str, target: str, depth: int) -> list[str]:
+    """The staged folders to rename, relative to ``staged``: where nothing is stored below a name yet, all of it at once."""
+    moved, walked = [], [""]
+    for level in range(1, depth + 1):
+        below = []
+        for above in walked:
+            stored = set(folder_names(spark, f"{target}{above}")) if level < depth else None
+            for name in folder_names(spark, f"{staged}{above}"):
+                (moved if stored is None or name not in stored else below).append(f"{above}/{name}")
+        walked = below
+    return [leaf.lstrip("/") for leaf in moved]
+
+
 def recover(spark: SparkSession, root: str) -> list[str]:
     """Finishes the recorded commits of jobs that died and sweeps away the others. Returns the finished ones' folders."""
     finished = []
-    for name in _names(spark, f"{root}/{FOLDER}"):
+    for name in folder_names(spark, f"{root}/{FOLDER}"):
         folder = f"{root}/{FOLDER}/{name}"
         if _exists(spark, f"{folder}/{RECORD}"):
             parts = [Part(**part) for part in json.loads(_read(spark, f"{folder}/{RECORD}"))]
@@ -131,18 +144,18 @@ def _put(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
+def folder_names(spark: SparkSession, path: str) -> list[str]:
     fs, where = file_system(spark, path)
     if not fs.exists(where):
         return []
     return [status.getPath().getName() for status in fs.listStatus(where) if status.isDirectory()]
 
 
-def _leaves(spark: SparkSession, path: str, depth: int) -> list[str]:
+def leaves(spark: SparkSession, path: str, depth: int) -> list[str]:
     """The folders ``depth`` levels below ``path``, relative to it."""
     found = [""]
     for _ in range(depth):
-        found = [f"{above}/{name}" for above in found for name in _names(spark, f"{path}{above}")]
+        found = [f"{above}/{name}" for above in found for name in folder_names(spark, f"{path}{above}")]
     return [leaf.lstrip("/") for leaf in found if leaf]
 
 

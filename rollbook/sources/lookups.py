@@ -7,12 +7,15 @@ no stored value is read again. A warehouse keeps them from the first ``build`` o
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rollbook.operators import partials
 from rollbook.schemas.tables import TABLES
 from rollbook.session import file_system, remove
+from rollbook.sources import layout
 from rollbook.sources.commits import Commit, Part
 
 FOLDER = "_lookups"
@@ -38,21 +41,31 @@ class LookUps:
 
     def read(self) -> DataFrame:
         """The partial rows; filters on the slice columns prune folders."""
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        schema = layout.stored_schema(self.schema, self.slice) if layout.shared(self.spark, self.path) else self.schema
+        return self.spark.read.schema(schema).parquet(self.path).select(*self.schema.names)
+
+    def build(self, stored: DataFrame, shared: bool = False) -> None:
+        """Reduces all stored values once. The partial rows appear when they are complete; earlier ones go.
 
-    def build(self, stored: DataFrame) -> None:
-        """Reduces all stored values once. The partial rows appear when they are complete; earlier ones go."""
+        ``shared`` says that the values' slices share folders; those of the partial rows then do as well.
+        """
         draft = f"{self.root}/{FOLDER}/_{TABLE}"
-        rows = partials.partial_values(stored, self.slice).hint("rebalance", *self.slice)
-        rows.sortWithinPartitions(*self.slice, *partials.OF).write.mode("overwrite").partitionBy(*self.slice).parquet(draft)
+        rows, by = self._reduced(stored, shared)
+        rows = rows.hint("rebalance", *by).sortWithinPartitions(*by, *partials.OF)
+        rows.write.mode("overwrite").partitionBy(*by).parquet(draft)
         fs, target = file_system(self.spark, self.path)
         remove(self.spark, self.path)
         if not fs.rename(file_system(self.spark, draft)[1], target):
             raise OSError(f"could not rename {draft} to {self.path}")
 
-    def stage(self, commit: Commit, staged: DataFrame) -> Part:
+    def stage(self, commit: Commit, staged: DataFrame, shared: bool = False) -> Part:
         """The partial rows of values that are about to be stored join their commit."""
-        return commit.stage(self.target, partials.partial_values(staged, self.slice), self.slice, partials.OF)
+        return commit.stage(self.target, *self._reduced(staged, shared), partials.OF)
+
+    def _reduced(self, values: DataFrame, shared: bool) -> tuple[DataFrame, Sequence[str]]:
+        """The partial rows of whole slices, and the columns that name their folders."""
+        rows = partials.partial_values(values, self.slice)
+        return (layout.placed(rows, self.slice), layout.folder_columns(self.slice)) if shared else (rows, self.slice)
 
     def views(self, types: DataFrame) -> dict[str, DataFrame]:
         """The attribute look-ups under the names that ``reports.attribute_look_ups`` gives them."""

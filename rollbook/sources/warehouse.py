@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import types as T
 
 from rollbook.operators.project import project
 from rollbook.schemas.tables import GRADE_TYPES, TABLES
 from rollbook.session import file_system, materialize
-from rollbook.sources.commits import Commit, recover, slice_folder
+from rollbook.sources import layout
+from rollbook.sources.commits import Commit, Part, folder_names, leaves, recover, slice_folder
 from rollbook.sources.idindex import INDEXED, IdIndex
 from rollbook.sources.lookups import TABLE as LOOKED_UP
 from rollbook.sources.lookups import LookUps
@@ -28,7 +29,8 @@ class Warehouse:
         return f"{self.root}/{table}"
 
     def read(self, table: str) -> DataFrame:
-        """The table with its declared types; filters on the slice columns prune folders. Empty if never written."""
+        """The table with its declared types; filters on the slice columns prune folders (where slices share folders, those
+        on the academic year). Empty if never written."""
         if table == "GradeTypes":
             return grade_types(self.spark)
         schema = TABLES[table].storage_schema
@@ -36,21 +38,48 @@ class Warehouse:
         if not fs.exists(where):
             return self.spark.createDataFrame([], schema)
         # The log's folders are its runs, which are no column of it.
-        return self.spark.read.schema(schema).parquet(self.path(table)).select(*schema.names)
+        return self._reader(table, self.shared(table)).parquet(self.path(table)).select(*schema.names)
+
+    def _reader(self, table: str, shared: bool) -> DataFrameReader:
+        spec = TABLES[table]
+        schema = layout.stored_schema(spec.storage_schema, spec.slice) if shared else spec.storage_schema
+        return self.spark.read.schema(schema).option("basePath", self.path(table))
+
+    def shared(self, table: str) -> bool:
+        """Whether the table's slices share folders."""
+        return layout.shared(self.spark, self.path(table))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.read(name) for name in TABLES}
 
-    def read_slices(self, table: str, slices: Iterable[Row]) -> DataFrame:
-        """Only the rows of the given slices; no other folder is listed or read. Slices never written are empty."""
+    def read_slices(self, table: str, slices: Iterable[Row] | DataFrame) -> DataFrame:
+        """Only the rows of the given slices; no folder without one is read. Slices never written are empty."""
         spec = TABLES[table]
-        fs, _ = file_system(self.spark, self.path(table))
-        paths = [f"{self.path(table)}/{slice_folder(spec.slice, row)}" for row in slices]
-        paths = [p for p in dict.fromkeys(paths) if fs.exists(file_system(self.spark, p)[1])]
-        if not paths:
-            return self.spark.createDataFrame([], spec.storage_schema)
-        read = self.spark.read.schema(spec.storage_schema).option("basePath", self.path(table))
-        return read.parquet(*paths).select(*spec.storage_schema.names)
+        if self.shared(table):
+            if not isinstance(slices, DataFrame):
+                by = T.StructType([spec.storage_schema[c] for c in spec.slice])
+                slices = self.spark.createDataFrame([tuple(r[c] for c in spec.slice) for r in slices], by)
+            rows = self.read_folders(table, self.shared_folders(table, slices))
+            return layout.in_slices(rows, slices, spec.slice, "left_semi")
+        rows = slices.select(*spec.slice).distinct().toLocalIterator() if isinstance(slices, DataFrame) else slices
+        stored = set(layout.own_folders(self.spark, self.path(table), spec.slice))
+        asked = dict.fromkeys(slice_folder(spec.slice, row) for row in rows)
+        return self.read_folders(table, [folder for folder in asked if folder in stored], shared=False)
+
+    def shared_folders(self, table: str, slices: DataFrame) -> list[str]:
+        """The stored folders that the slices share with others. Far fewer than slices: academies are not told apart."""
+        by = layout.folder_columns(TABLES[table].slice)
+        named = layout.placed(slices, TABLES[table].slice).select(*by).distinct().collect()
+        stored = set(leaves(self.spark, self.path(table), len(by)))
+        return sorted({slice_folder(by, row) for row in named} & stored)
+
+    def read_folders(self, table: str, folders: Sequence[str], shared: bool = True) -> DataFrame:
+        """The rows in the named folders below the table's."""
+        schema = TABLES[table].storage_schema
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.path(table)}/{folder}" for folder in folders]
+        return self._reader(table, shared).parquet(*paths).select(*schema.names)
 
     def ids(self, table: str) -> IdIndex:
         """The table's index from id to slice, made from the stored rows if there is none yet."""
@@ -64,7 +93,7 @@ class Warehouse:
         """The kept partial look-ups over the attribute values, made from the stored rows if there are none yet."""
         found = LookUps(self.spark, self.root)
         if not found.kept():
-            found.build(self.read(LOOKED_UP))
+            found.build(self.read(LOOKED_UP), self.shared(LOOKED_UP))
         return found
 
     def recover(self) -> list[str]:
@@ -115,23 +144,58 @@ class Replacement:
         ``empty`` names the slices without rows where the caller knows them; else they are looked up.
         """
         spec = TABLES[table]
-        part = self._made.stage(table, project(rows, table), spec.slice, [k for k in spec.key if k not in spec.slice])
-        # What else there is to know of the rows is read from where they are staged, a few columns each.
-        staged = self.warehouse.spark.read.schema(spec.storage_schema).parquet(part.staged)
-        if table in INDEXED:
-            self.warehouse.ids(table).add(staged)
-        parts = [part]
-        if table == LOOKED_UP and (kept := LookUps(self.warehouse.spark, self.warehouse.root)).kept():
-            parts.append(kept.stage(self._made, staged))
+        slices = slices.select(*spec.slice).distinct()
+        share = self.warehouse.shared(table)
+        stored = [] if share else layout.own_folders(self.warehouse.spark, self.warehouse.path(table), spec.slice)
+        if not share:
+            # More slices than may have a folder each need not be counted to the end.
+            asked = {slice_folder(spec.slice, row) for row in slices.limit(layout.MAX_FOLDERS + 1).collect()}
+            share = len(asked.union(stored)) > layout.MAX_FOLDERS
+        if share:
+            self._replace_in_shared_folders(table, rows, slices, bool(stored))
+            return
+        parts, staged = self._stage(table, project(rows, table), shared=False)
         if empty is None:
             empty = slices.join(staged.select(*spec.slice).distinct(), list(spec.slice), "left_anti")
-        # One short row per slice that was asked for and came back empty: bounded by the request plan, and
-        # fetched a partition at a time.
-        found = empty.select(*spec.slice).distinct().toLocalIterator()
-        emptied = sorted(slice_folder(spec.slice, row) for row in found)
+        # One short row per slice that was asked for and came back empty. Only those that are stored are to be emptied.
+        found = empty.select(*spec.slice).distinct().toLocalIterator() if stored else ()
+        emptied = sorted({slice_folder(spec.slice, row) for row in found}.intersection(stored))
         for each in parts:
             each.emptied = emptied
 
+    def _replace_in_shared_folders(self, table: str, rows: DataFrame, slices: DataFrame, moving: bool) -> None:
+        """The folders in which the slices lie are written anew: other slices' rows as they were, then ``rows``. With
+        ``moving`` the stored slices have a folder each and all move."""
+        spec, warehouse = TABLES[table], self.warehouse
+        rows = project(rows, table)
+        emptied = folder_names(warehouse.spark, warehouse.path(table)) if moving else []
+        if moving or warehouse.shared(table):
+            replaced = slices.unionByName(rows.select(*spec.slice)).distinct()
+            replaced = materialize(replaced, f"replaced-{table}", self._made.folder)
+            emptied = emptied or warehouse.shared_folders(table, replaced)
+            before = warehouse.read(table) if moving else warehouse.read_folders(table, emptied)
+            rows = layout.in_slices(before, replaced, spec.slice, "left_anti").unionByName(rows)
+        parts, _ = self._stage(table, rows, shared=True)
+        for each in parts:
+            # A folder that keeps rows is not emptied.
+            each.emptied = sorted(set(emptied).difference(leaves(warehouse.spark, each.staged, each.depth)))
+
+    def _stage(self, table: str, rows: DataFrame, shared: bool) -> tuple[list[Part], DataFrame]:
+        """Stages rows with what is kept beside them; returns the parts, and the rows as they are staged."""
+        spec, spark = TABLES[table], self.warehouse.spark
+        by, order, schema = spec.slice, [k for k in spec.key if k not in spec.slice], spec.storage_schema
+        if shared:
+            by, order = layout.folder_columns(spec.slice), list(dict.fromkeys([*spec.slice, *order]))
+            rows, schema = layout.placed(rows, spec.slice), layout.stored_schema(schema, spec.slice)
+        parts = [self._made.stage(table, rows, by, [c for c in order if c not in by])]
+        # What else there is to know of the rows is read from where they are staged, a few columns each.
+        staged = spark.read.schema(schema).parquet(parts[0].staged)
+        if table in INDEXED:
+            self.warehouse.ids(table).add(staged)
+        if table == LOOKED_UP and (kept := LookUps(spark, self.warehouse.root)).kept():
+            parts.append(kept.stage(self._made, staged, shared))
+        return parts, staged
+
     def replace_by_id(
         self, table: str, rows: DataFrame, slices: DataFrame, key: str, sent_ids: DataFrame, inside: bool = True,
         folder: str | None = None,
@@ -147,24 +211,17 @@ class Replacement:
         ids = materialize(sent_ids.select(key).distinct(), f"{table}-ids", folder)
         asked = slices.select(*on).distinct()
         named = self.warehouse.ids(table).slices_of(ids).select(*on).distinct()
-        # One short row per slice that holds a sent id besides those asked for.
-        named = list(named.join(asked, on, "left_anti").toLocalIterator())
+        named = materialize(named.join(asked, on, "left_anti"), f"{table}-named", folder)
         touched = self.warehouse.read_slices(table, named).join(ids, key, "left_semi").select(*on)
         if not inside:
             touched = touched.unionByName(rows.select(*on).join(asked, on, "left_anti"))
-        touched = list(touched.distinct().toLocalIterator())
-        if not touched:
+        touched = materialize(touched.distinct(), f"{table}-touched", folder)
+        if touched.isEmpty():
             self.replace_slices(table, rows, slices)
             return
         survivors = self.warehouse.read_slices(table, touched).join(ids, key, "left_anti")
         content = project(survivors, table).unionByName(project(rows, table))
-        schema = spec.storage_schema
-        also = self.warehouse.spark.createDataFrame([tuple(r) for r in touched], _fields(schema, on))
-        self.replace_slices(table, content, asked.unionByName(also))
-
-
-def _fields(schema, names: list[str]):
-    return type(schema)([schema[name] for name in names])
+        self.replace_slices(table, content, asked.unionByName(touched))
 
 
 def grade_types(spark: SparkSession) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from rollbook.plans import jobs
 from rollbook.plans.requests import request_plan
 from rollbook.schemas.endpoints import ENDPOINTS
-from rollbook.session import scratch_path
+from rollbook.session import materialize, scratch_path
 from rollbook.sources.landing import land, read_landing
 from rollbook.sources.warehouse import Warehouse
 from standins.catalogue import register
@@ -78,7 +78,9 @@ def _answers(t: Standins, plan: DataFrame) -> DataFrame:
 def _job(t: Standins, areas: tuple[str, ...], dataset: str | None = None) -> DataFrame:
     config = t["AcademySecurity"]
     folder = scratch_path(t.spark, "landing")
-    land(_answers(t, request_plan(config, AS_OF, areas, dataset)), folder)
+    # Written out: every endpoint's answers are made from it.
+    plan = materialize(request_plan(config, AS_OF, areas, dataset), "plan")
+    land(_answers(t, plan), folder)
     warehouse = Warehouse(t.spark, scratch_path(t.spark, "warehouse"))
     log = jobs.run_sync(warehouse, read_landing(t.spark, folder), config, AS_OF, areas, dataset)
     return reduce(DataFrame.unionByName, [_shown(log), *[warehouse.read(n).selectExpr(f"'{n}' what", *e) for n, e in _TABLES.items()]])
