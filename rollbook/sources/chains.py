@@ -3,17 +3,19 @@
 A page is asked for with the cursor its predecessor handed on; the first page is asked for without one. The order is
 found by pointer doubling: every page starts out knowing its predecessor, and in each round takes over what its
 predecessor knows, so the known distance doubles and a chain of n pages takes log2(n) rounds of one join, all requests
-together, with no request gathered into one task. Pages that never reach a first page hang on a gap or run in a circle.
+together, with no request gathered into one task. Where there are very many pages, most are taken out of their chains
+beforehand, round by round, and put back afterwards. Pages that never reach a first page hang on a gap or run in a circle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.session import materialize, scratch_path
 
 _LINK = "__link"
+MAX_DOUBLED = 1 << 20  # pages that are placed by doubling; more are thinned out first
 
 
 def numbered_chains(pages: DataFrame, folder: str | None = None) -> DataFrame:
@@ -69,11 +71,54 @@ def _predecessors(pages: DataFrame, faults: DataFrame) -> DataFrame:
 def _distances(known: DataFrame, folder: str) -> DataFrame:
     """(__link, __place): each page's number from 1, for those that reach a first page.
 
+    Long lists are shortened first: each round takes out about a quarter of the pages, and those behind them point past
+    them. So the rounds shrink, and together cost a few times the pages, not log2 of them. What is left is placed by
+    doubling; then the pages taken out follow, the last first, each from the place of the page it pointed to.
+    """
+    known = materialize(known, "round0", folder)
+    # A page that points to itself otherwise, now or after some rounds, is what is left of a circle and has no place.
+    firsts, rest = known.where("page = before and steps = 0"), known.where("page <> before")
+    taken: list[DataFrame] = []
+    total = rest.count()
+    while total > MAX_DOUBLED:
+        number = len(taken)
+        # A page goes if its own coin says so and that of the page ahead does not: no two neighbours go together.
+        goes = _coin("page", number) & ~_coin("before", number)
+        out = materialize(rest.where(goes), f"taken{number}", folder)
+        stay = rest.where(~goes)
+        past = out.select(F.col("page").alias("before"), F.col("before").alias("further"), F.col("steps").alias("more"))
+        behind = stay.where(_coin("before", number)).join(past, "before", "left").select(
+            "page", F.coalesce("further", "before").alias("before"), (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps")
+        )
+        behind = behind.where("page <> before")
+        rest = materialize(stay.where(~_coin("before", number)).unionByName(behind), f"short{number}", folder)
+        taken.append(out)
+        total = rest.count()
+    if not taken:
+        return _doubled(known, folder)
+    # Of the first pages, which have number 1, only those still pointed to take part in the doubling.
+    asked = firsts.join(rest.select(F.col("before").alias("page")).distinct(), "page", "left_semi").select(*known.columns)
+    later = _doubled(materialize(rest.unionByName(asked), "rest", folder), folder).where("__place > 1")
+    placed = firsts.select(F.col("page").alias(_LINK), F.lit(1).cast("bigint").alias("__place"))
+    placed = placed.unionByName(materialize(later, "placed", folder))
+    for number in reversed(range(len(taken))):
+        ahead = placed.select(F.col(_LINK).alias("before"), "__place")
+        more = taken[number].join(ahead, "before").select(F.col("page").alias(_LINK), (F.col("__place") + F.col("steps")).alias("__place"))
+        placed = placed.unionByName(materialize(more, f"placed{number}", folder))
+    return placed
+
+
+def _coin(page: str, number: int) -> Column:
+    return F.xxhash64(F.col(page), F.lit(number)) % 2 == 0
+
+
+def _doubled(known: DataFrame, folder: str) -> DataFrame:
+    """The same by pointer doubling alone.
+
     ``before`` is the page ``steps`` ahead. A page whose ``before`` is a first page is done. The others take over what
     that page knows; one whose ``before`` knows nothing hangs on a gap and is dropped. In a circle distances go on
     doubling past the number of pages, which ends the rounds.
     """
-    known = materialize(known, "round0", folder)
     total = known.count()
     rounds = 0
     while True:

@@ -87,3 +87,29 @@ def test_a_sync_without_page_numbers(spark, interpreted):
     log = jobs.sync_requests(warehouse, landed, requests_of(landed), ["subjects"], page_numbers=False)
     assert {(r.AcademyCode, r.Exception) for r in log.collect()} == {("A", None), ("B", "broken page chain")}
     assert len(stored(warehouse, "Subjects", "SubjectId")) == 4
+
+
+def test_very_many_pages_are_thinned_out_first(spark, interpreted, monkeypatch):
+    """The rounds shrink: together they write a few times the pages, not one copy for each doubling."""
+    rows = chain("long", random.Random(5).sample(range(-(10**6), 10**6), 2000))
+    gap = chain("gap", list(range(300)))
+    rows += gap[:100] + gap[101:]
+    circle = [("circle", (k - 1) % 200, k, True, k + 1, "x") for k in range(200)]
+    rows += circle + [("self", 5, 5, True, 1, "x")]
+    for k in range(40):
+        rows += chain(f"r{k}", list(range(1 + k % 7)))
+    placed = sorted(numbered(spark, rows).select("request_id", "place", "page_no", "chain_problem").collect(), key=str)
+    made = {}
+    keep = chains.materialize
+
+    def counted(df, name, folder):
+        kept = keep(df, name, folder)
+        made[name] = kept.count()
+        return kept
+
+    monkeypatch.setattr(chains, "materialize", counted)
+    monkeypatch.setattr(chains, "MAX_DOUBLED", 100)
+    found = numbered(spark, rows).select("request_id", "place", "page_no", "chain_problem").collect()
+    assert sorted(found, key=str) == placed
+    assert all(r.page_no == r.place for r in found if r.request_id == "long")
+    assert sum(n for name, n in made.items() if name not in ("pages", "numbered")) < 7 * len(rows)
