@@ -85,26 +85,15 @@ def length_violations(rows: DataFrame, table: str) -> DataFrame:
 def orphan_report(tables: Mapping[str, DataFrame]) -> DataFrame:
     """For every foreign key between the given tables: how many child rows have no parent.
 
-    Each table is read once as a child, for all its foreign keys together, and once as a parent. The children are
-    counted per key before the join, so the shuffle holds one row per key however often a key occurs. A NULL key
-    refers to nothing and is no orphan.
+    The keys of a parent table and all columns that refer to them are counted together, map-side first: one shuffle a
+    parent table, which holds one row per key and task however often a key occurs, and nothing is sorted or joined. A
+    NULL key refers to nothing and is no orphan.
     """
     edges = [(name, p) for name in tables for p in TABLES[name].parents if p.table in tables]
-    children, named = [], []
-    for name, rows in tables.items():
-        own = [
-            F.struct(F.lit(k).alias("edge"), F.lit(p.table).alias("parent"), F.col(p.column).cast("string").alias("key"))
-            for k, (child, p) in enumerate(edges)
-            if child == name
-        ]
-        if own:
-            keys = rows.select(F.inline(F.array(*own))).filter(F.col("key").isNotNull())
-            children.append(keys.groupBy("edge", "parent", "key").agg(F.count("*").alias("rows")))
-    for name in dict.fromkeys(p.table for _, p in edges):
-        key = F.col(TABLES[name].key[0]).cast("string").alias("key")
-        named.append(tables[name].select(F.lit(name).alias("parent"), key))
-    orphans = reduce(DataFrame.unionByName, children).join(reduce(DataFrame.unionByName, named), ["parent", "key"], "left_anti")
-    counts = orphans.groupBy("edge").agg(F.sum("rows").alias("orphans"))
+    counts = [
+        _orphans(tables, parent, [(k, child, p.column) for k, (child, p) in enumerate(edges) if p.table == parent])
+        for parent in dict.fromkeys(p.table for _, p in edges)
+    ]
     every = F.array(
         *[
             F.struct(F.lit(k).alias("edge"), F.lit(c).alias("child"), F.lit(p.column).alias("child_column"), F.lit(p.table).alias("parent"))
@@ -112,6 +101,31 @@ def orphan_report(tables: Mapping[str, DataFrame]) -> DataFrame:
         ]
     )
     listed = next(iter(tables.values())).sparkSession.range(1).select(F.inline(every))
-    return listed.join(counts, "edge", "left").select(
+    return listed.join(reduce(DataFrame.unionByName, counts), "edge", "left").select(
         "child", "child_column", "parent", F.coalesce("orphans", F.lit(0)).cast("bigint").alias("orphans")
     )
+
+
+def _orphans(tables: Mapping[str, DataFrame], parent: str, edges: Sequence[tuple[int, str, str]]) -> DataFrame:
+    """One row per foreign key (its number, child table and column) to ``parent``: how many of its rows have no parent.
+
+    NULL keys are left out of the sums and not of the rows: a filter would sink into tables that are worked out, and
+    those that are read for several keys would then no longer share one shuffle.
+    """
+    sides = [(None, parent, TABLES[parent].key[0]), *edges]
+    # Ids of one type are compared as they are, others by their text.
+    mixed = len({tables[name].schema[column].dataType for _, name, column in sides}) > 1
+    keys = reduce(DataFrame.unionByName, [
+        tables[name].select(
+            (F.col(column).cast("string") if mixed else F.col(column)).alias("key"), F.lit(k).cast("int").alias("edge"),
+        )
+        for k, name, column in sides
+    ])
+    per_key = keys.groupBy("key").agg(
+        F.bool_or(F.col("edge").isNull()).alias("known"), *[F.count_if(F.col("edge") == k).alias(f"edge_{k}") for k, _, _ in edges]
+    )
+    orphan = F.col("key").isNotNull() & ~F.col("known")
+    sums = per_key.agg(*[F.sum(F.when(orphan, F.col(f"edge_{k}"))).alias(f"edge_{k}") for k, _, _ in edges])
+    return sums.select(
+        F.inline(F.array(*[F.struct(F.lit(k).alias("edge"), F.col(f"edge_{k}").alias("orphans")) for k, _, _ in edges]))
+    )

@@ -102,6 +102,18 @@ def test_a_row_goes_with_any_of_its_parents(spark):
     assert found == {("GroupStudents", "Groups"): 3, ("GroupStudents", "Students"): 0, ("Groups", "Subjects"): 0}
 
 
+def test_orphans_with_null_repeated_and_mixed_keys(spark):
+    tables = {
+        "Departments": spark.createDataFrame([("d1",), (None,)], "DepartmentId string"),
+        "Subjects": spark.createDataFrame([(1, "d1"), (1, "d2"), (None, "d2"), (2, None)], "SubjectId bigint, DepartmentId string"),
+        "Groups": spark.createDataFrame(
+            [("g1", "1"), ("g2", "3"), ("g3", "3"), ("g4", "x"), ("g5", None)], "GroupId string, SubjectId string"),
+        "Staff": spark.createDataFrame([(1,)], "StaffId bigint"),
+    }
+    found = {(r.child, r.child_column, r.parent): r.orphans for r in orphan_report(tables).collect()}
+    assert found == {("Subjects", "DepartmentId", "Departments"): 2, ("Groups", "SubjectId", "Subjects"): 3}
+
+
 def test_projection_is_by_name(spark):
     staged = spark.createDataFrame([("extra", "m", 5, "s", "A", "2021", "n")],
                                    "SubjectId string, MarksheetId string, MaxMarks int, MarkslotId string, "

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from rollbook.operators.attributes import earliest_value, latest_value, value_for_year
+from rollbook.operators.checks import orphan_report
 from rollbook.operators.joins import expand, look_up
 from standins import catalogue
+from standins.relations import Standins
 from tests.conftest import SF
 
 QUERIES = catalogue.queries()
@@ -81,3 +83,20 @@ def test_look_ups_reduce_before_the_shuffle(spark):
     for found in (latest_value(named), earliest_value(named), value_for_year(named, "2021")):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "partial_max" in plan or "partial_min" in plan
+
+
+def test_orphans_are_counted_without_joining_keys(spark, small_partitions):
+    report = QUERIES["orphan_report"](spark, SF)
+    assert "LeftAnti" not in optimized(report)
+    rows, plan = final_plan(report)
+    # Only the list of foreign keys is joined; a table that is worked out and read for several keys is shuffled once.
+    assert plan.partition("== Initial Plan ==")[0].count("Join") == 1
+    assert "ReusedExchange" in plan
+    assert len(rows) == 26
+
+
+def test_keys_of_orphans_are_reduced_before_the_shuffle(spark):
+    t = Standins(spark, SF)
+    plan = orphan_report({n: t[n] for n in ("Students", "MarkslotMarks")})._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(key#\d+, \d+\)", plan)
+    assert "partial_bool_or" in plan or "partial_max" in plan
