@@ -51,23 +51,25 @@ def behaviour(t: Tables) -> DataFrame:
         "BehEventId", "BehEventTypeId", "EventDate", "Closed", "Cancelled", "GroupName", "SubjectCode", "YearGroup",
         "SchoolNotes", "CreatedByStaffId", "Academy", "DataSet",
     )
-    involved = t["BehEventStudents"].select("BehEventId", "StudentId")
-    rows = expand(events, involved, ["BehEventId"]).withColumnRenamed("StudentId", "InvolvedId")
-    rows = look_up(rows, t["BehEventTypes"], {"BehEventTypeId": "BehEventTypeId"}, {
-        "BehClassificationId": "BehClassificationId", "Code": "event_code", "Name": "event_type",
-        "Significance": "Significance",
+    # Students are found before the expansion and classes with their types: events without students, and types without
+    # a class, would all have the key NULL afterwards and meet in one task.
+    involved = t["BehEventStudents"].select("BehEventId", F.col("StudentId").alias("InvolvedId"))
+    involved = look_up(involved, _student_details(t), {"InvolvedId": "StudentId"}, {
+        "StudentId": "StudentId", "UPN": "UPN", "PreferredFirstName": "student_first_name",
+        "PreferredLastName": "student_last_name",
     })
-    rows = look_up(rows, t["BehClassifications"], {"BehClassificationId": "BehClassificationId"}, {
+    rows = expand(events, involved.drop("InvolvedId"), ["BehEventId"])
+    types = look_up(t["BehEventTypes"], t["BehClassifications"], {"BehClassificationId": "BehClassificationId"}, {
         "Name": "behaviour_class", "Score": "Score",
     })
+    rows = look_up(rows, types, {"BehEventTypeId": "BehEventTypeId"}, {
+        "Code": "event_code", "Name": "event_type", "Significance": "Significance", "behaviour_class": "behaviour_class",
+        "Score": "Score",
+    })
     rows = look_up(rows, t["Staff"], {"CreatedByStaffId": "StaffId"}, {
         "FirstName": "created_by_first_name", "LastName": "created_by_last_name",
         "EmailAddress": "created_by_email",
     })
-    rows = look_up(rows, _student_details(t), {"InvolvedId": "StudentId"}, {
-        "StudentId": "StudentId", "UPN": "UPN", "PreferredFirstName": "student_first_name",
-        "PreferredLastName": "student_last_name",
-    })
     subjects = t["Subjects"].select("Academy", "DataSet", "YearGroup", F.col("Code").alias("SubjectCode"),
                                     F.col("Name").alias("Subject"))
     rows = rows.join(subjects, ["Academy", "SubjectCode", "YearGroup", "DataSet"], "left")

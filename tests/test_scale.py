@@ -100,3 +100,12 @@ def test_keys_of_orphans_are_reduced_before_the_shuffle(spark):
     plan = orphan_report({n: t[n] for n in ("Students", "MarkslotMarks")})._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(key#\d+, \d+\)", plan)
     assert "partial_bool_or" in plan or "partial_max" in plan
+
+
+def test_rows_without_a_student_or_class_are_not_looked_up(spark):
+    plan = optimized(QUERIES["behaviour_view"](spark, SF)).splitlines()
+    depth = {line.index("Join"): line for line in plan if "Join LeftOuter" in line}
+    expanded = next(line.index("Union") for line in plan if "Union" in line)
+    # NULL keys meet in one task: students are looked up below the expansion, classes for the types alone.
+    above = [line for at, line in depth.items() if at < expanded]
+    assert above and not [line for line in above if re.search(r"InvolvedId|StudentId|BehClassificationId", line)]
